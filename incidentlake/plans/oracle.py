@@ -180,6 +180,7 @@ def oracle_sql() -> dict[str, str]:
         "pii_dropped": over_raw(f"SELECT {kept} FROM raw"),
         "quality_filter": over_raw(f"SELECT {raw_cols} FROM raw WHERE {QUALITY_WHERE}"),
         "silver": over_silver(f"SELECT {silver_data} FROM silver"),
+        "streaming_silver": over_silver(f"SELECT {silver_data} FROM silver"),
         "silver_count": over_silver("SELECT COUNT(*) AS rows FROM silver"),
         "silver_profile": over_silver(
             "SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE timestamp IS NULL) AS null_timestamp, "

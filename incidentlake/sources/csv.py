@@ -14,21 +14,37 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _reader(spark: SparkSession, multiline: bool):
-    # RFC 4180 quoting (a quote inside a quoted field is doubled); empty text
-    # and quoted "" are NULL. ``emptyValue`` is left alone on purpose.
-    return (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "")
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-        .option("encoding", "UTF-8")
+def csv_options(multiline: bool = False) -> dict[str, str]:
+    """Reader options for the raw log, shared by batch and streaming reads.
+
+    RFC 4180 quoting (a quote inside a quoted field is doubled); empty text and
+    quoted "" are NULL (``emptyValue`` is left alone on purpose); malformed
+    lines are kept and flagged in ``_corrupt_record``.
+    """
+    return {
+        "header": "true",
+        "quote": '"',
+        "escape": '"',
+        "nullValue": "",
+        "multiLine": str(multiline).lower(),
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT_RECORD,
+        "encoding": "UTF-8",
+    }
+
+
+def raw_read_schema(columns: Sequence[str] = RAW_COLUMNS) -> T.StructType:
+    """All-text schema of the raw columns plus the corrupt-record column."""
+    return T.StructType(
+        [T.StructField(c, T.StringType(), True) for c in columns]
+        + [T.StructField(CORRUPT_RECORD, T.StringType(), True)]
     )
 
 
+def _reader(spark: SparkSession, multiline: bool):
+    return spark.read.options(**csv_options(multiline))
+
+
 def header_columns(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False):
     """Column names from the header line of the first file (reads one line)."""
     return _reader(spark, multiline).csv(_paths(paths)).columns
@@ -75,8 +91,4 @@ def read_raw_csv(
 
             df = df.withColumn(CORRUPT_RECORD, F.lit(None).cast("string"))
         return df
-    schema = T.StructType(
-        [T.StructField(c, T.StringType(), True) for c in names]
-        + [T.StructField(CORRUPT_RECORD, T.StringType(), True)]
-    )
-    return reader.schema(schema).option("enforceSchema", False).csv(plist)
+    return reader.schema(raw_read_schema(names)).option("enforceSchema", False).csv(plist)
