@@ -23,6 +23,10 @@ IPV4_NETWORK_MASK = "*.*"
 # is put back unchanged: the leftmost match is the only one.
 _FIRST_IPV4 = r"(?s)(\d{1,3}\.\d{1,3})\.\d{1,3}\.\d{1,3}(.*)"
 _FIRST_IPV4_REPLACEMENT = "$1." + IPV4_NETWORK_MASK + "$2"
+# A value that is exactly one dotted quad (the usual case) is masked without a
+# replace: keep what precedes the second dot. ``\z`` rather than ``$``, which
+# would also accept a trailing line break and then drop it.
+_ONLY_IPV4 = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\z"
 
 
 def _col(c: Column | str) -> Column:
@@ -58,4 +62,8 @@ def mask_ipv4(c: Column | str) -> Column:
     Unanchored like the SQL original: ``x1234.5.6.7890`` -> ``x1234.5.*.*0``.
     Values without an IPv4 (IPv6, names) pass through; NULL stays NULL.
     """
-    return F.regexp_replace(_col(c), _FIRST_IPV4, _FIRST_IPV4_REPLACEMENT)
+    col = _col(c)
+    return F.when(
+        col.rlike(_ONLY_IPV4),
+        F.concat(F.substring_index(col, ".", 2), F.lit("." + IPV4_NETWORK_MASK)),
+    ).otherwise(F.regexp_replace(col, _FIRST_IPV4, _FIRST_IPV4_REPLACEMENT))

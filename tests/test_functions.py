@@ -115,6 +115,10 @@ def test_to_int_lenient(spark):
         ("2001:db8::1", "2001:db8::1"),
         ("host.example", "host.example"),
         ("line1\n10.0.0.1\n", "line1\n10.0.*.*\n"),
+        ("10.0.0.1\n", "10.0.*.*\n"),
+        ("1.2.3.4", "1.2.*.*"),
+        ("1.2.3.4.5", "1.2.*.*.5"),
+        ("999.999.999.999", "999.999.*.*"),
         (None, None),
     ],
 )
