@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incidentlake.functions import (
@@ -157,16 +157,15 @@ def severity_share(filtered: DataFrame) -> DataFrame:
     """Incidents per severity, the grand total and each severity's percent
     share, largest first.
 
-    The share uses a window over the whole (already aggregated) result, which
-    has one row per severity level.
+    The grand total is a scalar subquery (a global partial aggregate, one row
+    per task), so no step gathers the per-severity rows into one partition.
     """
     per = _sum_by(filtered, ["severity_level"])
-    everything = Window.partitionBy()
-    total = F.sum("total_incidents").over(everything)
+    total = per.agg(F.sum("total_incidents").cast("bigint")).scalar()
     return per.select(
         "severity_level",
         "total_incidents",
-        total.cast("bigint").alias("grand_total"),
+        total.alias("grand_total"),
         (F.lit(100.0) * F.col("total_incidents") / total).alias("share_pct"),
     ).orderBy(F.desc("total_incidents"), F.asc("severity_level"))
 
