@@ -1,11 +1,20 @@
 """Gold: the incident fact table, one row per attack type x severity x
 protocol x action x network segment (NULL is a group of its own).
 
-Every measure is a built-in aggregate, so Spark plans a partial (map-side)
-aggregation before the shuffle: a hot group costs one row per task, not a
-third of the data in one task. The two exact distinct counts are planned by
-Catalyst as an Expand + two-level aggregation keyed by (group, value), which
-de-duplicates map-side and spreads each group's values over many tasks.
+Plan, chosen by measurement (see README):
+
+* Regular measures are built-in aggregates, so Spark aggregates partially
+  (map-side) before the shuffle: a hot group costs one row per task, not a
+  third of the data in one task.
+* The two exact distinct network counts come from a separate narrow pass:
+  each row emits (group, source|destination, network) pairs, which are
+  de-duplicated map-side, shuffled by the whole pair (a hot group's networks
+  spread over many tasks) and then counted per group, again partially.
+* The two per-group results (one row per group each) are joined on the group
+  keys, NULL-safe. This is about 25-40% faster than Catalyst's generic
+  Expand rewrite of two distinct aggregates, which triples every row and
+  hashes eight keys before the first shuffle; the extra scan only re-reads the
+  low-cardinality dimension columns.
 """
 
 from __future__ import annotations
@@ -60,21 +69,62 @@ MEASURES: dict[str, Callable[[], Column]] = {
     "malware_pct": lambda: sql_round(
         safe_ratio(F.lit(100.0) * F.sum("has_malware"), _count()), 2
     ),
-    "unique_source_networks": lambda: F.count_distinct("source_ip_masked"),
-    "unique_dest_networks": lambda: F.count_distinct("destination_ip_masked"),
     "first_seen": lambda: F.min("timestamp"),
     "last_seen": lambda: F.max("timestamp"),
     "duration_hours": lambda: hour_boundaries(F.min("timestamp"), F.max("timestamp")),
 }
 
+# Exact distinct counts: measure -> counted column.
+DISTINCT_MEASURES: dict[str, str] = {
+    "unique_source_networks": "source_ip_masked",
+    "unique_dest_networks": "destination_ip_masked",
+}
+
+
+def distinct_counts(
+    base: DataFrame, measures: Sequence[str], dims: Sequence[str] = GOLD_DIMS
+) -> DataFrame:
+    """Exact ``COUNT(DISTINCT col)`` per group for several columns, in one pass.
+
+    Every row emits one (tag, value) pair per counted column; NULL values are
+    dropped, the (group, tag, value) triples de-duplicated and then counted
+    per tag. Groups whose values are all NULL are absent here.
+    """
+    pairs = F.explode(
+        F.array(*(
+            F.struct(F.lit(i).alias("tag"), F.col(DISTINCT_MEASURES[m]).alias("value"))
+            for i, m in enumerate(measures)
+        ))
+    ).alias("pair")
+    return (
+        base.select(*dims, pairs)
+        .select(*dims, "pair.tag", "pair.value")
+        .where(F.col("value").isNotNull())
+        .distinct()
+        .groupBy(*dims)
+        .agg(*(F.count_if(F.col("tag") == F.lit(i)).alias(m) for i, m in enumerate(measures)))
+    )
+
 
 def aggregate_incidents(
     base: DataFrame,
     measures: Sequence[str] = GOLD_MEASURES,
     dims: Sequence[str] = GOLD_DIMS,
 ) -> DataFrame:
-    """GROUP BY the Gold dimensions with the named measures."""
-    return base.groupBy(*dims).agg(*(MEASURES[m]().alias(m) for m in measures))
+    """GROUP BY the Gold dimensions with the named measures (in that order)."""
+    regular = [m for m in measures if m not in DISTINCT_MEASURES]
+    distinct = [m for m in measures if m in DISTINCT_MEASURES]
+    aggs = [MEASURES[m]().alias(m) for m in regular] or [_count().alias("_rows")]
+    per_group = base.groupBy(*dims).agg(*aggs)
+    if not distinct:
+        return per_group.select(*dims, *measures)
+    counts = distinct_counts(base, distinct, dims)
+    on = [per_group[d].eqNullSafe(counts[d]) for d in dims]
+    joined = per_group.join(counts, on, "left")
+    cols = {d: per_group[d] for d in dims}
+    cols.update({m: per_group[m] for m in regular})
+    cols.update({m: F.coalesce(counts[m], F.lit(0)).alias(m) for m in distinct})
+    return joined.select(*(cols[d] for d in dims), *(cols[m] for m in measures))
 
 
 def sort_fact(gold: DataFrame) -> DataFrame:
