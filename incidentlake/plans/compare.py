@@ -66,10 +66,6 @@ def compare(spark_df: pd.DataFrame, oracle_df: pd.DataFrame) -> tuple[bool, str]
 
 
 def check(spark, sf_dir: str, names: Iterable[str] | None = None, verbose: bool = True):
-    sys_path_entry = __import__("os").path.dirname(__import__("os").path.dirname(
-        __import__("os").path.dirname(__import__("os").path.abspath(__file__))))
-    if sys_path_entry not in sys.path:
-        sys.path.insert(0, sys_path_entry)
     from incidentlake.plans.oracle import oracle_sql
     from incidentlake.plans.queries import queries
 

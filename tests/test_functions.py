@@ -1,6 +1,5 @@
 """Expression helpers against the semantics they re-create."""
 
-import datetime as dt
 import math
 import random
 

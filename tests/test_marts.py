@@ -1,6 +1,5 @@
 """Report marts on hand-made Gold rows (cases the fixture cannot reach)."""
 
-from pyspark.sql import functions as F
 
 from incidentlake.operators import marts
 from incidentlake.plans.dashboard import Selection, build_marts, filter_options

@@ -1,6 +1,5 @@
 """Every registered query against its SQL oracle (DuckDB) at sf0.001."""
 
-import pytest
 
 import __spark_entry__ as entry
 from incidentlake.plans.compare import check
