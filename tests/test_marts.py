@@ -118,3 +118,11 @@ def test_anomaly_by_attack(spark):
     g = gold(spark, [row("X", avg=10.0, mx=50.0), row("X", avg=20.0, mx=70.0), row("Y", avg=40.0, mx=41.0)])
     out = [tuple(r) for r in marts.anomaly_by_attack(marts.filter_gold(g)).collect()]
     assert out == [("Y", 40.0, 41.0), ("X", 15.0, 70.0)]
+
+
+def test_nulls_sort_last_in_descending_orders(spark):
+    g = gold(spark, [row("X", avg=None, n=5), row("Y", avg=1.0, n=5), row("Z", avg=2.0, n=5)])
+    out = [r.attack_type for r in marts.top_incidents(marts.filter_gold(g), 50).collect()]
+    assert out == ["Z", "Y", "X"]
+    anomaly = [r.attack_type for r in marts.anomaly_by_attack(marts.filter_gold(g)).collect()]
+    assert anomaly == ["Z", "Y", "X"]

@@ -102,3 +102,12 @@ def test_quoted_empty_is_null_but_blank_is_kept(spark, scratch):
     r = read_raw_csv(spark, p, columns=COLS).select(*[F.col(f"`{c}`") for c in COLS]).first()
     assert r["Attack Type"] is None and r["Payload Data"] is None
     assert r["Alerts/Warnings"] == "  " and r["Anomaly Scores"] is None
+
+
+def test_csv_writer_keeps_surrounding_spaces(spark, scratch):
+    df = spark.createDataFrame([(" tcp ", None, "a,\"b\"")], "p string, q string, r string")
+    from incidentlake.sinks import write_csv
+
+    write_csv(df, f"{scratch}/out")
+    back = read_raw_csv(spark, f"{scratch}/out", columns=["p", "q", "r"]).first()
+    assert (back["p"], back["q"], back["r"]) == (" tcp ", None, 'a,"b"')
