@@ -2,7 +2,7 @@
 
 Setup (untimed): the raw attack log is derived from ``events`` and written as
 CSV, which is the pipeline's real input format. Then each stage runs once to
-warm the JVM and once timed:
+warm the JVM and twice timed (the best time is reported):
 
 * ``bronze``  CSV -> Bronze Parquet, plus accepted/rejected counts
 * ``silver``  Bronze -> Silver Parquet, plus profile and top-5 attacks
@@ -32,6 +32,9 @@ from incidentlake.sinks import write_csv  # noqa: E402
 from incidentlake.sources import raw_log, read_layer  # noqa: E402
 
 
+TIMED_RUNS = 2
+
+
 def _sf_of(path: str) -> float | str:
     base = os.path.basename(path.rstrip("/"))
     try:
@@ -75,10 +78,12 @@ def main() -> None:
     for fn in stages.values():  # warm-up pass
         fn()
     timings, rows = {}, {}
-    for name, fn in stages.items():
-        t0 = time.perf_counter()
-        rows[name] = fn()
-        timings[name] = round(time.perf_counter() - t0, 3)
+    for _ in range(TIMED_RUNS):  # best of the timed passes (the host is noisy)
+        for name, fn in stages.items():
+            t0 = time.perf_counter()
+            rows[name] = fn()
+            elapsed = round(time.perf_counter() - t0, 3)
+            timings[name] = min(timings.get(name, elapsed), elapsed)
 
     pipeline = round(timings["bronze"] + timings["silver"] + timings["gold"], 3)
     print(
@@ -93,6 +98,7 @@ def main() -> None:
                 "sf": _sf_of(sf_dir),
                 "cpus": cpus,
                 "warmup_runs": 1,
+                "timed_runs": TIMED_RUNS,
             }
         )
     )

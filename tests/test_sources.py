@@ -111,3 +111,14 @@ def test_csv_writer_keeps_surrounding_spaces(spark, scratch):
     write_csv(df, f"{scratch}/out")
     back = read_raw_csv(spark, f"{scratch}/out", columns=["p", "q", "r"]).first()
     assert (back["p"], back["q"], back["r"]) == (" tcp ", None, 'a,"b"')
+
+
+def test_read_bronze_and_rejects_split_stored_rows(spark, scratch):
+    from incidentlake.sources import read_bronze, read_rejects
+
+    p = write(f"{scratch}/log.csv", HEADER, ROWS)
+    write_layer(land(read_raw_csv(spark, p, multiline=True, columns=COLS)), f"{scratch}/bronze")
+    good = read_bronze(spark, f"{scratch}/bronze")
+    assert "_corrupt_record" not in good.columns and good.count() == 7
+    assert sorted(r["_corrupt_record"] for r in read_rejects(spark, f"{scratch}/bronze").collect()) == sorted(
+        [ROWS[6], ROWS[7]])

@@ -27,3 +27,16 @@ def test_incremental_files_land_once(spark, scratch):
     want = to_silver(raw, stamps=False)
     assert got.count() == 950
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_ingest_available_refreshes_gold(spark, scratch):
+    from incidentlake.config import LayerConfig
+    from incidentlake.schemas import GOLD_CREATED_AT
+    from incidentlake.streaming import ingest_available
+
+    write_csv(raw_log(spark, SF_SMALL), f"{scratch}/in/batch1")
+    cfg = LayerConfig.under(f"{scratch}/lake", f"{scratch}/in")
+    report = ingest_available(spark, cfg, f"{scratch}/in/*", f"{scratch}/ck")
+    assert report.layer == "gold" and report.rows == 470
+    assert report.details["total_incidents"] == 950
+    assert GOLD_CREATED_AT in read_layer(spark, cfg.gold).columns
