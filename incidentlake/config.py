@@ -33,6 +33,7 @@ class LayerConfig:
     silver: str
     gold: str
     multiline_csv: bool = False
+    columns_from_header: bool = True
     row_group_rows: int = ROW_GROUP_ROWS
     partition_by: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 

@@ -46,14 +46,19 @@ class LayerReport:
 def run_bronze(spark: SparkSession, cfg: LayerConfig) -> LayerReport:
     """Land the raw CSV as Parquet (text columns + ``_ingested_at``).
 
-    Malformed lines are stored too, flagged by ``_corrupt_record``: one scan of
+    Column names and order come from the file header (as a header-driven CSV
+    reader would take them); every expected column must be present and every
+    file's header must agree. Malformed lines are stored too, flagged by
+    ``_corrupt_record``: one scan of
     the source, one write, and the rejects stay inspectable. The accepted and
     rejected counts are observed while writing (every column is parsed then,
     so the counts are exact) instead of re-scanning the stored table.
     """
     t0 = time.perf_counter()
     source = first_existing(spark, cfg.raw_csv)
-    raw = read_raw_csv(spark, source, multiline=cfg.multiline_csv)
+    raw = read_raw_csv(
+        spark, source, multiline=cfg.multiline_csv, from_header=cfg.columns_from_header
+    )
     obs = Observation("bronze_profile")
     write_layer(
         land(raw).observe(obs, *profile_measures()),

@@ -102,3 +102,14 @@ def test_row_group_size(spark, scratch):
     md = pq.ParquetFile(files[0]).metadata
     assert [md.row_group(i).num_rows for i in range(md.num_row_groups)] == [100_000, 100_000, 50_000]
     assert md.row_group(0).column(0).compression == "SNAPPY"
+
+
+def test_bronze_takes_column_order_from_header(spark, scratch):
+    from incidentlake.plans.pipeline import run_bronze, run_silver
+    from incidentlake.schemas import RAW_COLUMNS
+
+    shuffled = list(reversed(RAW_COLUMNS))
+    write_csv(raw_log(spark, SF_SMALL).select(*[f"`{c}`" for c in shuffled]), f"{scratch}/raw")
+    cfg = LayerConfig.under(f"{scratch}/lake", f"{scratch}/raw")
+    assert run_bronze(spark, cfg).rows == 1000
+    assert run_silver(spark, cfg).rows == 950
