@@ -25,7 +25,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from incidentlake.config import LayerConfig, local_session  # noqa: E402
-from incidentlake.plans.dashboard import build_marts, filter_options  # noqa: E402
+from incidentlake.plans.dashboard import build_marts, filter_options, release  # noqa: E402
 from incidentlake.plans.pipeline import run_bronze, run_gold, run_silver  # noqa: E402
 from incidentlake.plans.queries import flagship  # noqa: E402
 from incidentlake.sinks import write_csv  # noqa: E402
@@ -65,7 +65,7 @@ def main() -> None:
         for name, df in bundle.items():
             if name != "filtered":
                 n += len(df.collect())
-        bundle["filtered"].unpersist()
+        release(bundle)
         return n
 
     stages = {

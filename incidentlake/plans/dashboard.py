@@ -36,13 +36,15 @@ def build_marts(
 
     The filtered frame is cached once and shared: Gold is bounded by the
     product of the dimension cardinalities, so it is small regardless of how
-    many log lines produced it.
+    many log lines produced it. The one-row key figures are cached too, so the
+    formatted figures do not recompute them. ``release`` drops both.
     """
     sel = selection or Selection()
     filtered = marts.filter_gold(gold, sel.severities, sel.attacks, sel.protocols)
+    kpi = marts.kpis(filtered)
     if cache:
         filtered = filtered.cache()
-    kpi = marts.kpis(filtered)
+        kpi = marts.kpis(filtered).cache()  # one row, shared with its formatted form
     return {
         "filtered": filtered,
         "kpis": kpi,
@@ -56,3 +58,10 @@ def build_marts(
         "malware_by_attack": marts.malware_by_attack(filtered),
         "top_incidents": marts.top_incidents(filtered, top_rows, marts.DISPLAY_LABELS),
     }
+
+
+def release(bundle: dict[str, DataFrame]) -> None:
+    """Drop the cached frames of a ``build_marts`` bundle."""
+    for df in bundle.values():
+        if df.is_cached:
+            df.unpersist()

@@ -110,8 +110,12 @@ def test_build_marts_bundle(spark):
     bundle = build_marts(g, Selection(severities=["LOW"]))
     assert set(bundle) >= {"kpis", "attack_volume", "severity_share", "heatmap", "top_incidents"}
     assert bundle["kpis"].first().total_incidents == 1
-    assert bundle["filtered"].is_cached
-    bundle["filtered"].unpersist()
+    assert bundle["filtered"].is_cached and bundle["kpis"].is_cached
+    assert bundle["kpis_formatted"].first().total_incidents == "1"
+    from incidentlake.plans.dashboard import release
+
+    release(bundle)
+    assert not bundle["filtered"].is_cached and not bundle["kpis"].is_cached
 
 
 def test_anomaly_by_attack(spark):
