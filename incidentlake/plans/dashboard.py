@@ -41,10 +41,11 @@ def build_marts(
     """
     sel = selection or Selection()
     filtered = marts.filter_gold(gold, sel.severities, sel.attacks, sel.protocols)
-    kpi = marts.kpis(filtered)
     if cache:
         filtered = filtered.cache()
-        kpi = marts.kpis(filtered).cache()  # one row, shared with its formatted form
+    kpi = marts.kpis(filtered)
+    if cache:
+        kpi = kpi.cache()  # one row, shared with its formatted form
     return {
         "filtered": filtered,
         "kpis": kpi,
