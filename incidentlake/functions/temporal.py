@@ -10,9 +10,22 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Date separators SQL engines accept besides '-' (used consistently
+# within one date): '/', '\\' and a space, e.g. 2024/01/19 09:49:47.
+_OTHER_DATE_SEPARATORS = r"^(\s*[+-]?\d+)([/\\ ])(\d{1,2})\2(\d{1,2})"
+
+
 def to_timestamp_ntz(c: Column | str) -> Column:
-    """Text -> TIMESTAMP without time zone, NULL when unparsable."""
-    return _col(c).try_cast("timestamp_ntz")
+    """Text -> TIMESTAMP without time zone, NULL when unparsable.
+
+    Spark's cast reads ISO-like text (``T`` or space before the time, optional
+    seconds and fractions); dates written with ``/``, ``\\`` or space
+    separators are rewritten to dashes and parsed on a second try, which only
+    runs for values the first cast rejected.
+    """
+    col = _col(c)
+    dashed = F.regexp_replace(col, _OTHER_DATE_SEPARATORS, "$1-$3-$4")
+    return F.coalesce(col.try_cast("timestamp_ntz"), dashed.try_cast("timestamp_ntz"))
 
 
 def hour_boundaries(start: Column | str, end: Column | str) -> Column:
