@@ -159,76 +159,40 @@ _TABLE_COLS = (
 _MALWARE_PCT = "round_even(100 * malware / total, 2)"
 
 
-def oracle_sql() -> dict[str, str]:
-    raw_cols = ", ".join(q(c) for c in RAW_COLUMNS)
-    kept = ", ".join(q(c) for c in RAW_COLUMNS if c not in PII_COLUMNS)
-    silver_data = ", ".join(s for s, _, _ in SILVER_SPEC)
+def _on_gold(ctes, body: str) -> str:
+    return with_ctes(*ctes, body=body)
+
+
+def _on_filtered(ctes, body: str) -> str:
+    return with_ctes(*ctes, FILTERED_CTE, body=body)
+
+
+def mart_sql(gold_cte: str | None = None) -> dict[str, str]:
+    """SQL of the Gold-reading queries. ``gold_cte`` (``gold AS (...)``)
+    replaces the raw -> Silver -> Gold chain, to check marts on any Gold."""
+    ctes = (gold_cte,) if gold_cte else (RAW_CTE, SILVER_CTE, BASE_CTE, GOLD_CTE)
     sub = GOLD_FILTER_SUBSET
     return {
-        "raw_log": over_raw(f"SELECT {raw_cols} FROM raw"),
-        "bronze_roundtrip": over_raw(f"SELECT {raw_cols} FROM raw"),
-        "bronze_load_profile": "SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS rejected FROM events",
-        "typed_columns": over_raw(
-            f"SELECT {silver_select(('timestamp', 'int', 'double'))} FROM raw"
-        ),
-        "masked_ips": over_raw(f"SELECT {silver_select(('mask',))} FROM raw"),
-        "masked_ips_documents": (
-            "SELECT doc_id, REGEXP_REPLACE(text, " + _IPV4_FIRST + ", " + _IPV4_REPL
-            + ") AS text_masked FROM documents"
-        ),
-        "normalised_text": over_raw(f"SELECT {silver_select(('upper', 'trim'))} FROM raw"),
-        "pii_dropped": over_raw(f"SELECT {kept} FROM raw"),
-        "quality_filter": over_raw(f"SELECT {raw_cols} FROM raw WHERE {QUALITY_WHERE}"),
-        "silver": over_silver(f"SELECT {silver_data} FROM silver"),
-        "streaming_silver": over_silver(f"SELECT {silver_data} FROM silver"),
-        "silver_count": over_silver("SELECT COUNT(*) AS rows FROM silver"),
-        "silver_profile": over_silver(
-            "SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE timestamp IS NULL) AS null_timestamp, "
-            "COUNT(*) FILTER (WHERE source_port IS NULL) AS null_source_port, "
-            "COUNT(*) FILTER (WHERE destination_port IS NULL) AS null_destination_port, "
-            "COUNT(*) FILTER (WHERE anomaly_score IS NULL) AS null_anomaly_score FROM silver"
-        ),
-        "silver_top_attacks": over_silver(
-            "SELECT attack_type, COUNT(*) AS total FROM silver GROUP BY attack_type "
-            "ORDER BY total DESC, attack_type ASC NULLS LAST LIMIT 5"
-        ),
-        "malware_flag": over_base("SELECT * FROM base"),
-        "gold_fact": over_gold(
-            "SELECT * FROM gold ORDER BY total_incidents DESC, avg_anomaly_score DESC"
-        ),
-        "pipeline_gold": over_gold("SELECT * FROM gold"),
-        "gold_volume": _gold_measures("total_incidents"),
-        "gold_anomaly": _gold_measures("avg_anomaly_score", "max_anomaly_score"),
-        "gold_packets": _gold_measures("avg_packet_length", "max_packet_length"),
-        "gold_malware": _gold_measures("malware_detected_count", "malware_pct"),
-        "gold_networks": _gold_measures("unique_source_networks", "unique_dest_networks"),
-        "gold_time_span": _gold_measures("first_seen", "last_seen", "duration_hours"),
-        "gold_summary": over_gold(
-            "SELECT COUNT(*) AS total_rows, CAST(SUM(total_incidents) AS BIGINT) AS total_incidents, "
-            "COUNT(DISTINCT attack_type) AS distinct_attack_types, "
-            "COUNT(DISTINCT protocol) AS distinct_protocols, "
-            f"ROUND({exact_avg_sql('avg_anomaly_score')}, 3) AS overall_avg_anomaly FROM gold"
-        ),
-        "opt_severity": over_gold(
+        "opt_severity": _on_gold(ctes, 
             "SELECT DISTINCT severity_level FROM gold WHERE severity_level IS NOT NULL ORDER BY 1"
         ),
-        "opt_attack": over_gold(
+        "opt_attack": _on_gold(ctes, 
             "SELECT DISTINCT attack_type FROM gold WHERE attack_type IS NOT NULL ORDER BY 1"
         ),
-        "opt_protocol": over_gold(
+        "opt_protocol": _on_gold(ctes, 
             "SELECT DISTINCT protocol FROM gold WHERE protocol IS NOT NULL ORDER BY 1"
         ),
-        "gold_filtered": over_gold(
+        "gold_filtered": _on_gold(ctes, 
             f"SELECT * FROM gold WHERE severity_level IN ({_lit_list(sub['severities'])}) "
             f"AND attack_type IN ({_lit_list(sub['attacks'])}) "
             f"AND protocol IN ({_lit_list(sub['protocols'])})"
         ),
         "kpis": with_ctes(
-            RAW_CTE, SILVER_CTE, BASE_CTE, GOLD_CTE, FILTERED_CTE, _KPI_BODY,
+            *ctes, FILTERED_CTE, _KPI_BODY,
             body="SELECT * FROM kpis",
         ),
         "kpis_formatted": with_ctes(
-            RAW_CTE, SILVER_CTE, BASE_CTE, GOLD_CTE, FILTERED_CTE, _KPI_BODY,
+            *ctes, FILTERED_CTE, _KPI_BODY,
             body=(
                 "SELECT format('{:,}', total_incidents) AS total_incidents, "
                 "CAST(distinct_attacks AS VARCHAR) AS distinct_attacks, "
@@ -238,49 +202,103 @@ def oracle_sql() -> dict[str, str]:
                 "format('{:,}', distinct_networks) AS distinct_networks FROM kpis"
             ),
         ),
-        "mart_attack_volume": over_filtered(
+        "mart_attack_volume": _on_filtered(ctes, 
             "SELECT attack_type, total_incidents FROM ("
             "SELECT attack_type, CAST(SUM(total_incidents) AS BIGINT) AS total_incidents "
             "FROM filtered GROUP BY attack_type "
             "ORDER BY total_incidents DESC, attack_type DESC LIMIT 12) ORDER BY total_incidents, attack_type"
         ),
-        "mart_severity_share": over_filtered(
+        "mart_severity_share": _on_filtered(ctes, 
             "SELECT severity_level, total_incidents, "
             "CAST(SUM(total_incidents) OVER () AS BIGINT) AS grand_total, "
             "CAST(100.0 AS DOUBLE) * total_incidents / CAST(SUM(total_incidents) OVER () AS BIGINT) AS share_pct "
             "FROM (SELECT severity_level, CAST(SUM(total_incidents) AS BIGINT) AS total_incidents "
             "FROM filtered GROUP BY severity_level)"
         ),
-        "mart_attack_protocol": over_filtered(
+        "mart_attack_protocol": _on_filtered(ctes, 
             "SELECT attack_type, protocol, CAST(SUM(total_incidents) AS BIGINT) AS total_incidents "
             "FROM filtered GROUP BY attack_type, protocol"
         ),
-        "mart_heatmap": over_filtered(
+        "mart_heatmap": _on_filtered(ctes, 
             "SELECT attack_type, COALESCE(COLUMNS(* EXCLUDE (attack_type)), 0) FROM ("
             "PIVOT (SELECT attack_type, protocol, total_incidents FROM filtered) "
             "ON protocol USING CAST(SUM(total_incidents) AS BIGINT) GROUP BY attack_type)"
         ),
-        "mart_anomaly": over_filtered(
+        "mart_anomaly": _on_filtered(ctes, 
             f"SELECT attack_type, {exact_avg_sql('avg_anomaly_score')} AS avg_anomaly, "
             "MAX(max_anomaly_score) AS max_anomaly FROM filtered GROUP BY attack_type"
         ),
-        "mart_severity_action": over_filtered(
+        "mart_severity_action": _on_filtered(ctes, 
             f"SELECT CASE WHEN {_sev_rank_sql('severity_level')} IS NOT NULL THEN severity_level END "
             "AS severity_level, action_taken, total_incidents, "
             f"{_sev_rank_sql('severity_level')} AS severity_rank FROM ("
             "SELECT severity_level, action_taken, CAST(SUM(total_incidents) AS BIGINT) AS total_incidents "
             "FROM filtered WHERE action_taken IS NOT NULL GROUP BY severity_level, action_taken)"
         ),
-        "mart_malware_pct": over_filtered(
+        "mart_malware_pct": _on_filtered(ctes, 
             f"SELECT attack_type, malware, total, {_MALWARE_PCT} AS pct, "
             f"printf('%.1f%%', {_MALWARE_PCT}) AS pct_label FROM ("
             "SELECT attack_type, CAST(SUM(malware_detected_count) AS BIGINT) AS malware, "
             "CAST(SUM(total_incidents) AS BIGINT) AS total FROM filtered GROUP BY attack_type)"
         ),
-        "mart_top_incidents": over_filtered(
+        "mart_top_incidents": _on_filtered(ctes, 
             f"SELECT {_TABLE_COLS} FROM filtered ORDER BY total_incidents DESC, "
             "avg_anomaly_score DESC, "
             + ", ".join(f"{d} ASC NULLS LAST" for d in GOLD_DIMS)
             + " LIMIT 50"
         ),
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    raw_cols = ", ".join(q(c) for c in RAW_COLUMNS)
+    kept = ", ".join(q(c) for c in RAW_COLUMNS if c not in PII_COLUMNS)
+    silver_data = ", ".join(s for s, _, _ in SILVER_SPEC)
+    sub = GOLD_FILTER_SUBSET
+    return {
+        "raw_log": over_raw(f"SELECT {raw_cols} FROM raw"),
+        "bronze_roundtrip": over_raw(f"SELECT {raw_cols} FROM raw"),
+        "bronze_load_profile": "SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS rejected FROM events",
+        "typed_columns": over_raw(
+            f"SELECT {silver_select(('timestamp', 'int', 'double'))} FROM raw"
+        ),
+        "masked_ips": over_raw(f"SELECT {silver_select(('mask',))} FROM raw"),
+        "masked_ips_documents": (
+            "SELECT doc_id, REGEXP_REPLACE(text, " + _IPV4_FIRST + ", " + _IPV4_REPL
+            + ") AS text_masked FROM documents"
+        ),
+        "normalised_text": over_raw(f"SELECT {silver_select(('upper', 'trim'))} FROM raw"),
+        "pii_dropped": over_raw(f"SELECT {kept} FROM raw"),
+        "quality_filter": over_raw(f"SELECT {raw_cols} FROM raw WHERE {QUALITY_WHERE}"),
+        "silver": over_silver(f"SELECT {silver_data} FROM silver"),
+        "streaming_silver": over_silver(f"SELECT {silver_data} FROM silver"),
+        "silver_count": over_silver("SELECT COUNT(*) AS rows FROM silver"),
+        "silver_profile": over_silver(
+            "SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE timestamp IS NULL) AS null_timestamp, "
+            "COUNT(*) FILTER (WHERE source_port IS NULL) AS null_source_port, "
+            "COUNT(*) FILTER (WHERE destination_port IS NULL) AS null_destination_port, "
+            "COUNT(*) FILTER (WHERE anomaly_score IS NULL) AS null_anomaly_score FROM silver"
+        ),
+        "silver_top_attacks": over_silver(
+            "SELECT attack_type, COUNT(*) AS total FROM silver GROUP BY attack_type "
+            "ORDER BY total DESC, attack_type ASC NULLS LAST LIMIT 5"
+        ),
+        "malware_flag": over_base("SELECT * FROM base"),
+        "gold_fact": over_gold(
+            "SELECT * FROM gold ORDER BY total_incidents DESC, avg_anomaly_score DESC"
+        ),
+        "pipeline_gold": over_gold("SELECT * FROM gold"),
+        "gold_volume": _gold_measures("total_incidents"),
+        "gold_anomaly": _gold_measures("avg_anomaly_score", "max_anomaly_score"),
+        "gold_packets": _gold_measures("avg_packet_length", "max_packet_length"),
+        "gold_malware": _gold_measures("malware_detected_count", "malware_pct"),
+        "gold_networks": _gold_measures("unique_source_networks", "unique_dest_networks"),
+        "gold_time_span": _gold_measures("first_seen", "last_seen", "duration_hours"),
+        "gold_summary": over_gold(
+            "SELECT COUNT(*) AS total_rows, CAST(SUM(total_incidents) AS BIGINT) AS total_incidents, "
+            "COUNT(DISTINCT attack_type) AS distinct_attack_types, "
+            "COUNT(DISTINCT protocol) AS distinct_protocols, "
+            f"ROUND({exact_avg_sql('avg_anomaly_score')}, 3) AS overall_avg_anomaly FROM gold"
+        ),
+        **mart_sql(),
+    }
