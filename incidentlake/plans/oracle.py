@@ -20,6 +20,10 @@ from incidentlake.schemas import (
 )
 from incidentlake.sources.events_log import raw_log_select_sql
 
+# The registered Bronze load writes every event whose id is a
+# multiple of this number as a malformed line (one field too many).
+MALFORMED_EVERY = 101
+
 _IPV4_FIRST = r"'(\d{1,3}\.\d{1,3})\.\d{1,3}\.\d{1,3}'"
 _IPV4_REPL = r"'\1.*.*'"
 
@@ -258,7 +262,10 @@ def oracle_sql() -> dict[str, str]:
     return {
         "raw_log": over_raw(f"SELECT {raw_cols} FROM raw"),
         "bronze_roundtrip": over_raw(f"SELECT {raw_cols} FROM raw"),
-        "bronze_load_profile": "SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS rejected FROM events",
+        "bronze_load_profile": (
+            f"SELECT COUNT(*) FILTER (WHERE event_id % {MALFORMED_EVERY} <> 0) AS rows, "
+            f"COUNT(*) FILTER (WHERE event_id % {MALFORMED_EVERY} = 0) AS rejected FROM events"
+        ),
         "typed_columns": over_raw(
             f"SELECT {silver_select(('timestamp', 'int', 'double'))} FROM raw"
         ),

@@ -11,7 +11,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from incidentlake.config import LayerConfig, shared_scratch_dir
 from incidentlake.functions import mask_ipv4
@@ -27,11 +28,11 @@ from incidentlake.operators.silver import (
     to_silver,
     typed_columns,
 )
-from incidentlake.plans.oracle import GOLD_FILTER_SUBSET
+from incidentlake.plans.oracle import GOLD_FILTER_SUBSET, MALFORMED_EVERY
 from incidentlake.plans.pipeline import run_pipeline
 from incidentlake.schemas import GOLD_CREATED_AT, INGESTED_AT, PROCESSED_AT, RAW_COLUMNS
 from incidentlake.sinks import write_csv, write_layer
-from incidentlake.sources import raw_log, read_layer, read_raw_csv
+from incidentlake.sources import RAW_LOG_EXPRESSIONS, raw_log, read_events, read_layer, read_raw_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,10 +66,41 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+
+def _csv_field(c: Column) -> Column:
+    quoted = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(c.isNull(), F.lit("")).otherwise(quoted)
+
+
+def _raw_lines_with_malformed(spark: SparkSession, sf_dir: str) -> str:
+    """Write the raw log as CSV lines built column by column (RFC 4180 quoting),
+    every ``MALFORMED_EVERY``-th event with one field too many."""
+    events = read_events(spark, sf_dir)
+    line = F.concat_ws(",", *(_csv_field(F.col(f"`{c}`")) for c in RAW_COLUMNS))
+    bad = (F.col("event_id") % F.lit(MALFORMED_EVERY)) == F.lit(0)
+    header = ",".join(RAW_COLUMNS)  # written as the single column's name
+    path = _scratch(spark, "raw-lines")
+    (
+        events.selectExpr("event_id", *(f"{RAW_LOG_EXPRESSIONS[c]} AS `{c}`" for c in RAW_COLUMNS))
+        .select(F.when(bad, F.concat(line, F.lit(",extra"))).otherwise(line).alias(header))
+        .write.mode("overwrite")
+        .option("header", True)
+        .option("sep", "\u0001")  # never in the data: lines are written verbatim
+        .option("quote", "")
+        .option("escape", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return path
+
+
 def bronze_load_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV -> stored Bronze, then accepted / rejected counts of the stored table."""
+    """CSV with some malformed lines -> stored Bronze, then the accepted and
+    rejected line counts of the stored table."""
     bronze = _scratch(spark, "bronze")
-    write_layer(land(read_raw_csv(spark, _raw_as_csv(spark, sf_dir))), bronze,
+    write_layer(land(read_raw_csv(spark, _raw_lines_with_malformed(spark, sf_dir))), bronze,
                 rows_per_group=100_000)
     return load_profile(read_layer(spark, bronze))
 
