@@ -14,6 +14,7 @@ from incidentlake.sources.layers import (
     read_bronze,
     read_layer,
     read_rejects,
+    register_layers,
 )
 
 __all__ = [
@@ -29,4 +30,5 @@ __all__ = [
     "read_layer",
     "read_raw_csv",
     "read_rejects",
+    "register_layers",
 ]

@@ -43,3 +43,21 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Bronze lines that did not parse, with their original text."""
     df = read_layer(spark, path)
     return df.where(F.col(CORRUPT_RECORD).isNotNull())
+
+
+def register_layers(spark: SparkSession, cfg) -> list[str]:
+    """Expose the stored layers as temporary views ``bronze``, ``silver`` and
+    ``gold`` (only those that exist), for ``spark.sql`` queries. Bronze is
+    shown without rejected lines; ``bronze_rejects`` lists those."""
+    names = []
+    for name, path in (("bronze", cfg.bronze), ("silver", cfg.silver), ("gold", cfg.gold)):
+        if not path_exists(spark, path):
+            continue
+        if name == "bronze":
+            read_bronze(spark, path).createOrReplaceTempView("bronze")
+            read_rejects(spark, path).createOrReplaceTempView("bronze_rejects")
+            names += ["bronze", "bronze_rejects"]
+        else:
+            read_layer(spark, path).createOrReplaceTempView(name)
+            names.append(name)
+    return names

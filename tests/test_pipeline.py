@@ -113,3 +113,13 @@ def test_bronze_takes_column_order_from_header(spark, scratch):
     cfg = LayerConfig.under(f"{scratch}/lake", f"{scratch}/raw")
     assert run_bronze(spark, cfg).rows == 1000
     assert run_silver(spark, cfg).rows == 950
+
+
+def test_register_layers_for_sql(spark, lake):
+    from incidentlake.sources import register_layers
+
+    cfg, _ = lake
+    assert register_layers(spark, cfg) == ["bronze", "bronze_rejects", "silver", "gold"]
+    row = spark.sql("SELECT SUM(total_incidents) AS n FROM gold").first()
+    assert row["n"] == spark.sql("SELECT COUNT(*) AS n FROM silver").first()["n"] == 950
+    assert spark.sql("SELECT COUNT(*) AS n FROM bronze_rejects").first()["n"] == 0
