@@ -59,7 +59,7 @@ def run_bronze(spark: SparkSession, cfg: LayerConfig) -> LayerReport:
     raw = read_raw_csv(
         spark, source, multiline=cfg.multiline_csv, from_header=cfg.columns_from_header
     )
-    obs = Observation("bronze_profile")
+    obs = Observation()  # unique name: safe with concurrent runs
     write_layer(
         land(raw).observe(obs, *profile_measures()),
         cfg.bronze,
@@ -80,7 +80,7 @@ def run_silver(spark: SparkSession, cfg: LayerConfig, top_k: int = 5) -> LayerRe
     """Bronze -> Silver; the row profile is observed during the write, the top
     attacks are read back from the stored layer (one column)."""
     t0 = time.perf_counter()
-    obs = Observation("silver_profile")
+    obs = Observation()
     write_layer(
         to_silver(read_bronze(spark, cfg.bronze)).observe(obs, *silver_profile_measures()),
         cfg.silver,
