@@ -60,7 +60,7 @@ def main() -> None:
 
     def marts_refresh() -> int:
         gold = read_layer(spark, cfg.gold)
-        n = sum(len(df.collect()) for df in filter_options(gold).values())
+        n = len(filter_options(gold).collect())
         bundle = build_marts(gold)
         for name, df in bundle.items():
             if name != "filtered":

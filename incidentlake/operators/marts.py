@@ -69,6 +69,21 @@ def dimension_options(gold: DataFrame, column: str) -> DataFrame:
     )
 
 
+def all_dimension_options(gold: DataFrame, dims: Sequence[str] = FILTER_DIMS) -> DataFrame:
+    """Filter choices of several dimensions in one query: sorted distinct
+    non-NULL ``(dimension, value)`` pairs."""
+    pairs = F.explode(
+        F.array(*(F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dims))
+    ).alias("pair")
+    return (
+        gold.select(pairs)
+        .select("pair.dimension", "pair.value")
+        .where(F.col("value").isNotNull())
+        .distinct()
+        .orderBy("dimension", "value")
+    )
+
+
 def _member(column: str, allowed: Sequence[str] | None) -> Column:
     c = F.col(column)
     if allowed is None:  # every option selected: all non-NULL values

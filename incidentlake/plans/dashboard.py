@@ -19,9 +19,10 @@ class Selection:
     protocols: Sequence[str] | None = None
 
 
-def filter_options(gold: DataFrame) -> dict[str, DataFrame]:
-    """Sorted choices for each filter dimension."""
-    return {c: marts.dimension_options(gold, c) for c in marts.FILTER_DIMS}
+def filter_options(gold: DataFrame) -> DataFrame:
+    """Sorted choices of every filter dimension in one query, as
+    ``(dimension, value)`` rows; ``marts.dimension_options`` gives one list."""
+    return marts.all_dimension_options(gold, marts.FILTER_DIMS)
 
 
 def build_marts(

@@ -186,6 +186,14 @@ def mart_sql(gold_cte: str | None = None) -> dict[str, str]:
         "opt_protocol": _on_gold(ctes, 
             "SELECT DISTINCT protocol FROM gold WHERE protocol IS NOT NULL ORDER BY 1"
         ),
+        "opt_all": _on_gold(ctes, 
+            "SELECT DISTINCT dimension, value FROM ("
+            + " UNION ALL ".join(
+                f"SELECT '{d}' AS dimension, {d} AS value FROM gold"
+                for d in ("severity_level", "attack_type", "protocol")
+            )
+            + ") WHERE value IS NOT NULL ORDER BY dimension, value"
+        ),
         "gold_filtered": _on_gold(ctes, 
             f"SELECT * FROM gold WHERE severity_level IN ({_lit_list(sub['severities'])}) "
             f"AND attack_type IN ({_lit_list(sub['attacks'])}) "

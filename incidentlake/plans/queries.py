@@ -155,6 +155,7 @@ def queries() -> dict[str, Query]:
         "opt_severity": lambda s, d: marts.dimension_options(_gold(s, d), "severity_level"),
         "opt_attack": lambda s, d: marts.dimension_options(_gold(s, d), "attack_type"),
         "opt_protocol": lambda s, d: marts.dimension_options(_gold(s, d), "protocol"),
+        "opt_all": lambda s, d: marts.all_dimension_options(_gold(s, d)),
         "gold_filtered": lambda s, d: marts.filter_gold(
             _gold(s, d), sub["severities"], sub["attacks"], sub["protocols"]
         ),

@@ -38,9 +38,10 @@ def test_filter_drops_nulls_and_respects_lists(spark):
 
 def test_options_sorted_without_null(spark):
     g = gold(spark, [row("B"), row("A"), row(None), row("B", p="UDP")])
-    opts = filter_options(g)
-    assert [r[0] for r in opts["attack_type"].collect()] == ["A", "B"]
-    assert [r[0] for r in opts["protocol"].collect()] == ["TCP", "UDP"]
+    opts = [tuple(r) for r in filter_options(g).collect()]
+    assert opts == [("attack_type", "A"), ("attack_type", "B"), ("protocol", "TCP"),
+                    ("protocol", "UDP"), ("severity_level", "LOW")]
+    assert [r[0] for r in marts.dimension_options(g, "attack_type").collect()] == ["A", "B"]
 
 
 def test_kpis_and_formatting(spark):

@@ -45,6 +45,7 @@ def spark_marts(gold):
         "opt_severity": marts.dimension_options(gold, "severity_level"),
         "opt_attack": marts.dimension_options(gold, "attack_type"),
         "opt_protocol": marts.dimension_options(gold, "protocol"),
+        "opt_all": marts.all_dimension_options(gold),
         "gold_filtered": marts.filter_gold(gold, sub["severities"], sub["attacks"], sub["protocols"]),
         "kpis": k,
         "kpis_formatted": marts.kpis_formatted(k),
