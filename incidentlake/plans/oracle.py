@@ -231,6 +231,8 @@ def mart_sql(gold_cte: str | None = None) -> dict[str, str]:
             "SELECT attack_type, protocol, CAST(SUM(total_incidents) AS BIGINT) AS total_incidents "
             "FROM filtered GROUP BY attack_type, protocol"
         ),
+        # DuckDB names the pivot column of an empty-string protocol "''"; Spark
+        # (like pandas) names it ''. The registered data has no blank protocol.
         "mart_heatmap": _on_filtered(ctes, 
             "SELECT attack_type, COALESCE(COLUMNS(* EXCLUDE (attack_type)), 0) FROM ("
             "PIVOT (SELECT attack_type, protocol, total_incidents FROM filtered) "
