@@ -2,7 +2,7 @@
 
 Setup (untimed): the raw attack log is derived from ``events`` and written as
 CSV, which is the pipeline's real input format. Then each stage runs once to
-warm the JVM and twice timed (the best time is reported):
+warm the JVM and three times timed (the best time is reported):
 
 * ``bronze``  CSV -> Bronze Parquet, plus accepted/rejected counts
 * ``silver``  Bronze -> Silver Parquet, plus profile and top-5 attacks
@@ -32,7 +32,7 @@ from incidentlake.sinks import write_csv  # noqa: E402
 from incidentlake.sources import raw_log, read_layer  # noqa: E402
 
 
-TIMED_RUNS = 2
+TIMED_RUNS = 3
 
 
 def _sf_of(path: str) -> float | str:
