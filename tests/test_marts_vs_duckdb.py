@@ -6,12 +6,10 @@ import itertools
 import random
 
 import duckdb
-import pandas as pd
 
 from incidentlake.operators import marts
 from incidentlake.plans.compare import compare
 from incidentlake.plans.oracle import GOLD_FILTER_SUBSET, mart_sql
-from incidentlake.schemas import GOLD_DIMS
 
 SCHEMA = (
     "attack_type string, severity_level string, protocol string, action_taken string, "
