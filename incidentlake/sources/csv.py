@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,9 +46,48 @@ def _reader(spark: SparkSession, multiline: bool):
     return spark.read.options(**csv_options(multiline))
 
 
+def _first_line(spark: SparkSession, paths: Sequence[str]) -> str | None:
+    """First line of the first data file (sorted by path) under ``paths``,
+    read through the Hadoop FileSystem API: any URI scheme, globs, directories,
+    compression codecs. Reads one line on the driver; no Spark job."""
+    sc = spark.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hpath.getFileSystem(conf)
+        files = []
+        for st in fs.globStatus(hpath) or []:
+            if st.isDirectory():
+                files.extend(f for f in fs.listStatus(st.getPath()) if f.isFile())
+            else:
+                files.append(st)
+        for st in sorted(files, key=lambda f: f.getPath().toString()):
+            if st.getPath().getName().startswith(("_", ".")) or st.getLen() == 0:
+                continue
+            raw = fs.open(st.getPath())
+            try:
+                codec = codecs.getCodec(st.getPath())
+                stream = codec.createInputStream(raw) if codec else raw
+                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+                line = reader.readLine()
+            finally:
+                raw.close()
+            if line:
+                return line.lstrip("\ufeff")
+    return None
+
+
 def header_columns(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False):
-    """Column names from the header line of the first file (reads one line)."""
-    return _reader(spark, multiline).csv(_paths(paths)).columns
+    """Column names from the header line of the first file (reads one line).
+
+    A header with a quoted line break falls back to Spark's own header
+    inference (a one-task job)."""
+    plist = _paths(paths)
+    line = _first_line(spark, plist)
+    if line is None or line.count('"') % 2:
+        return _reader(spark, multiline).csv(plist).columns
+    return next(csv.reader([line], quotechar='"', doublequote=True))
 
 
 def read_raw_csv(

@@ -122,3 +122,16 @@ def test_read_bronze_and_rejects_split_stored_rows(spark, scratch):
     assert "_corrupt_record" not in good.columns and good.count() == 7
     assert sorted(r["_corrupt_record"] for r in read_rejects(spark, f"{scratch}/bronze").collect()) == sorted(
         [ROWS[6], ROWS[7]])
+
+
+def test_header_read_handles_compression_and_quoted_names(spark, scratch):
+    from incidentlake.sinks import write_csv
+
+    df = spark.createDataFrame([("1", "x")], "`a,b` string, `c` string")
+    (df.write.option("header", True).option("compression", "gzip").csv(f"{scratch}/gz"))
+    assert header_columns(spark, f"{scratch}/gz") == ["a,b", "c"]
+    assert header_columns(spark, f"{scratch}/gz/*.csv.gz") == ["a,b", "c"]
+    back = read_raw_csv(spark, f"{scratch}/gz", columns=["a,b", "c"], from_header=True).first()
+    assert (back["a,b"], back["c"]) == ("1", "x")
+    write_csv(df, f"{scratch}/plain")
+    assert header_columns(spark, [f"{scratch}/missing-*", f"{scratch}/plain"]) == ["a,b", "c"]
