@@ -66,8 +66,6 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-
-
 def _csv_field(c: Column) -> Column:
     quoted = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
     return F.when(c.isNull(), F.lit("")).otherwise(quoted)
