@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentlake.llm import sql
+from incidentlake.llm import license_scan, secret_scan, sql
+from incidentlake.llm._stored import scratch_path
 from incidentlake.llm.language_id import identify
 from incidentlake.llm.line_dedup import drop_repeated_lines
 from incidentlake.llm.mixing import mix
@@ -29,6 +30,19 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(_read(spark, sf_dir, "documents", "doc_id", "text")).select(*columns)
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table against a new ledger."""
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    scanned = secret_scan.scan_versions(docs, scratch_path(spark, "secret-ledger"))
+    return secret_scan.digest(scanned).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    columns = "doc_id n_words n_base first_word last_word base_labels labels score".split()
+    return license_scan.digest(license_scan.scan_licenses(docs)).select(*columns)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents", "doc_id", "source", "text")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
