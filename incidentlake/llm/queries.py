@@ -13,6 +13,7 @@ from incidentlake.llm._stored import scratch_path
 from incidentlake.llm.language_id import identify
 from incidentlake.llm.line_dedup import drop_repeated_lines
 from incidentlake.llm.mixing import mix
+from incidentlake.llm.ngram_join import near_duplicates
 from incidentlake.llm.quality import apply_rules
 from incidentlake.llm.token_counts import token_counts
 
@@ -25,6 +26,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents", "doc_id", "text"), str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
     return apply_rules(_read(spark, sf_dir, "documents", "doc_id", "text")).select(*columns)
