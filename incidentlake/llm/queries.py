@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentlake.llm import license_scan, secret_scan, sql
+from incidentlake.llm import embedding_join, license_scan, secret_scan, sql
 from incidentlake.llm._stored import scratch_path
 from incidentlake.llm.language_id import identify
 from incidentlake.llm.line_dedup import drop_repeated_lines
 from incidentlake.llm.mixing import mix
 from incidentlake.llm.ngram_join import near_duplicates
+from incidentlake.llm.piece_codec import encode_and_check
 from incidentlake.llm.quality import apply_rules
 from incidentlake.llm.token_counts import token_counts
 
@@ -22,6 +23,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").select(*columns)
 
 
+def op1_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    return encode_and_check(docs, str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents", "doc_id", "text"), str(public_tokenizers.path("byte_bpe_50k.json")))
 
@@ -53,6 +59,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(_read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_lines(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
