@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from incidentlake.llm._columns import let
 from incidentlake.llm._stored import stored
 
 MEAN_CHUNK_LINES = 3
@@ -37,16 +38,20 @@ def chunks(text: Column, mean_lines: int = MEAN_CHUNK_LINES) -> Column:
     """Array of chunks (``lines``: array of their lines) whose concatenation is
     the array of the text's lines. A chunk ends after a line whose hash, rolled
     with that of the line before, is 0 modulo ``mean_lines``."""
-    lines = F.split(text, "\n")
-    hashes = F.transform(lines, lambda x: F.xxhash64(x))
-    ends = lambda h: F.filter(
-        F.sequence(F.lit(1), F.size(h)),
-        lambda i: (i == F.size(h)) | ((i > 1) & (F.pmod(F.xxhash64(F.get(h, i - 2), F.get(h, i - 1)), F.lit(mean_lines)) == 0)),
-    )
-    cut = lambda e, all_lines: F.transform(
-        e, lambda end, k: F.slice(all_lines, F.coalesce(F.get(e, k - 1), F.lit(0)) + 1, end - F.coalesce(F.get(e, k - 1), F.lit(0)))
-    )
-    return F.get(F.transform(F.array(F.struct(lines.alias("l"), ends(hashes).alias("e"))), lambda x: cut(x["e"], x["l"])), F.lit(0))
+
+    def ends(h: Column) -> Column:
+        rolled = lambda i: F.pmod(F.xxhash64(F.get(h, i - 2), F.get(h, i - 1)), F.lit(mean_lines))
+        return F.filter(F.sequence(F.lit(1), F.size(h)), lambda i: (i == F.size(h)) | ((i > 1) & (rolled(i) == 0)))
+
+    def cut(lines: Column, e: Column) -> Column:
+        start = lambda k: F.coalesce(F.get(e, k - 1), F.lit(0))
+        return F.transform(e, lambda end, k: F.slice(lines, start(k) + 1, end - start(k)))
+
+    def of_lines(lines: Column) -> Column:
+        hashes = F.transform(lines, lambda x: F.xxhash64(x))
+        return let(let(hashes, ends), lambda e: cut(lines, e))
+
+    return let(F.split(text, "\n"), of_lines)
 
 
 def chunk_hash(lines: Column) -> Column:
@@ -80,13 +85,11 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
         places.where(F.col("hash").isNotNull()).join(repeated, "hash").where(~at.eqNullSafe(F.col("first")))
         .groupBy("__id").agg(F.collect_set(F.struct(F.col("__place").alias("place"), F.col("hash").alias("hash"))).alias("__gone"))
     )
-    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("__id")), "left")
+    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("__id")), "left").withColumn("__all", F.split(F.col(text), "\n"))
     kept = F.filter(cut, lambda c, k: ~F.array_contains(F.col("__gone"), F.struct(k.alias("place"), chunk_hash(c).alias("hash"))))
-    lines = F.flatten(kept)
-    clean = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
-    n = F.coalesce(F.size(F.split(F.col(text), "\n")), F.lit(0))
-    n = F.when(F.col(text).isNull(), 0).otherwise(n)
-    removed = F.when(F.col("__gone").isNull(), 0).otherwise(n - F.size(lines))
-    return joined.select(
-        *(clean.alias(text) if c == text else F.col(f"`{c}`") for c in names), n.cast("long").alias("n_lines"), removed.cast("long").alias("n_removed_lines")
-    )
+    joined = joined.withColumn("__kept", F.when(F.col("__gone").isNull(), F.col("__all")).otherwise(F.flatten(kept)))
+    n = F.when(F.col(text).isNull(), 0).otherwise(F.size("__all"))
+    left = F.when(F.col(text).isNull(), 0).otherwise(F.size("__kept"))
+    sized = joined.withColumns({"n_lines": n.cast("long"), "n_removed_lines": (n - left).cast("long")})
+    clean = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join("__kept", "\n"))
+    return sized.withColumn(text, clean).select(*(F.col(f"`{c}`") for c in names), "n_lines", "n_removed_lines")

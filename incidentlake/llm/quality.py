@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from incidentlake.llm._columns import let
+
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -50,9 +52,9 @@ def _repeated_words(words: Column) -> Column:
     def doubled(hashes: Column) -> Column:
         """Window hashes from word hashes: pairs, pairs of pairs, and so on."""
         pair = lambda a, k: F.transform(a, lambda x, i: F.xxhash64(x, F.get(a, i + k)))
-        return _let(pair(hashes, 1), lambda two: _let(pair(two, 2), lambda four: F.slice(pair(four, 4), 1, F.size(four) - (WINDOW - 1))))
+        return let(pair(hashes, 1), lambda two: let(pair(two, 2), lambda four: F.slice(pair(four, 4), 1, F.size(four) - (WINDOW - 1))))
 
-    windows = _let(F.transform(words, lambda w: F.xxhash64(w)), doubled)
+    windows = let(F.transform(words, lambda w: F.xxhash64(w)), doubled)
 
     def covered(hashes: Column) -> Column:
         placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -66,15 +68,10 @@ def _repeated_words(words: Column) -> Column:
             steps = F.transform(places, lambda p, k: F.least(F.coalesce(F.get(places, k + 1) - p, F.lit(WINDOW)), F.lit(WINDOW)))
             return F.aggregate(steps, F.lit(0), lambda s, x: s + x)
 
-        return _let(placed, lambda p: _let(neighbour(p), total))
+        return let(placed, lambda p: let(neighbour(p), total))
 
     repeated = lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(covered(h))
-    return F.when(n > 1, _let(windows, repeated)).otherwise(0)
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once (a one-element transform)."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.when(n > 1, let(windows, repeated)).otherwise(0)
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -60,8 +60,10 @@ METHOD_RULES = (
 )
 RULES = BASE_RULES + METHOD_RULES
 
+# what the ledger holds per match, and what a scan returns (kind: the rule's number)
+FOUND = "struct<start: int, end: int, rule: string>"
 SPAN = "struct<start: int, kind: int, end: int, name: string>"
-LEDGER_SCHEMA = f"blob string, rules array<string>, spans array<{SPAN}>"
+LEDGER_SCHEMA = f"blob string, rules array<string>, spans array<{FOUND}>"
 
 
 def blob_id(text: Column) -> Column:
@@ -91,7 +93,7 @@ def _matches(text: Column, rule: SecretRule, number: int) -> Column:
 
 def scan_blobs(blobs: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
     """Findings of ``blobs`` (``blob``, ``text``, ``pending``: keys of the rules
-    to run): one row per blob that has any, with its ``spans`` by place."""
+    to run): one row per blob that has any, with its ``spans``."""
     rows = None
     none = F.array().cast("array<struct<kind: int, i: int, before: int, size: int, counts: boolean>>")
     for number, rule in enumerate(rules):
@@ -101,9 +103,20 @@ def scan_blobs(blobs: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataF
     placed = blobs.select("blob", F.explode(rows).alias("m")).select("blob", "m.*")
     order = Window.partitionBy("blob", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("before") + F.col("size")).over(order).cast("int")
-    names = F.element_at(F.array(*(F.lit(r.name) for r in rules)), F.col("kind") + 1)
-    span = F.struct((F.col("end") - F.col("size")).alias("start"), F.col("kind"), F.col("end"), names.alias("name"))
-    return placed.withColumn("end", end).where("counts").groupBy("blob").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    keys = F.element_at(F.array(*(F.lit(r.key) for r in rules)), F.col("kind") + 1)
+    found = F.struct((F.col("end") - F.col("size")).alias("start"), F.col("end"), keys.alias("rule"))
+    return placed.withColumn("end", end).where("counts").groupBy("blob").agg(F.collect_list(found).alias("spans"))
+
+
+def _current(spans: Column, rules: tuple[SecretRule, ...]) -> Column:
+    """The spans of the given rule versions, by start, then rule."""
+    keys, names = F.array(*(F.lit(r.key) for r in rules)), F.array(*(F.lit(r.name) for r in rules))
+
+    def span(x: Column) -> Column:
+        kind = F.array_position(keys, x["rule"]).cast("int")
+        return F.struct(x["start"].alias("start"), (kind - 1).alias("kind"), x["end"].alias("end"), F.element_at(names, kind).alias("name"))
+
+    return F.sort_array(F.transform(F.filter(F.array_distinct(spans), lambda x: F.array_contains(keys, x["rule"])), span))
 
 
 def scan_versions(versions: DataFrame, ledger_path: str, rules: tuple[SecretRule, ...] = RULES, text: str = "text") -> DataFrame:
@@ -122,11 +135,11 @@ def scan_versions(versions: DataFrame, ledger_path: str, rules: tuple[SecretRule
     scanned = unseen.select("blob", F.col("pending").alias("rules"))
     # one row per scanned blob; those with findings come from the scan, the others only say that it was made
     found = scan_blobs(unseen, rules)
-    new = scanned.withColumn("spans", F.lit(None).cast(f"array<{SPAN}>")).unionByName(found.select("blob", F.array().cast("array<string>").alias("rules"), "spans"))
+    new = scanned.withColumn("spans", F.lit(None).cast(f"array<{FOUND}>")).unionByName(found.select("blob", F.array().cast("array<string>").alias("rules"), "spans"))
     new.write.mode("append").parquet(ledger_path)
     current = (
         spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path).where(F.size("spans") > 0).groupBy("blob")
-        .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+        .agg(_current(F.flatten(F.collect_list("spans")), rules).alias("spans"))
     )
     paths = versions.select(*(F.col(f"`{c}`") for c in names), blob_id(F.col(text)).alias("blob"))
     spans = F.coalesce(F.col("spans"), F.array().cast(f"array<{SPAN}>")).alias("spans")
