@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import logging
 import os
 import tempfile
@@ -32,7 +33,7 @@ class LayerConfig:
     bronze: str
     silver: str
     gold: str
-    multiline_csv: bool = False
+    multiline_csv: bool = True
     columns_from_header: bool = True
     row_group_rows: int = ROW_GROUP_ROWS
     partition_by: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
@@ -47,7 +48,7 @@ class LayerConfig:
             bronze=env.get("BRONZE_PATH", DEFAULT_BRONZE),
             silver=env.get("SILVER_PATH", DEFAULT_SILVER),
             gold=env.get("GOLD_PATH", DEFAULT_GOLD),
-            multiline_csv=env.get("RAW_CSV_MULTILINE", "false").lower() == "true",
+            multiline_csv=env.get("RAW_CSV_MULTILINE", "true").lower() == "true",
         )
 
     @classmethod
@@ -74,6 +75,9 @@ def object_store_conf(env: Mapping[str, str] | None = None) -> dict[str, str]:
     env = os.environ if env is None else env
     endpoint = env.get("S3_ENDPOINT", env.get("MINIO_ENDPOINT", "http://localhost:9000"))
     conf = {
+        # s3:// locations are served by the same connector
+        "spark.hadoop.fs.s3.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+        "spark.hadoop.fs.AbstractFileSystem.s3.impl": "org.apache.hadoop.fs.s3a.S3A",
         "spark.hadoop.fs.s3a.endpoint": endpoint,
         "spark.hadoop.fs.s3a.connection.ssl.enabled": str(endpoint.startswith("https://")).lower(),
         "spark.hadoop.fs.s3a.path.style.access": "true",
@@ -92,20 +96,47 @@ def object_store_conf(env: Mapping[str, str] | None = None) -> dict[str, str]:
 def shared_scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    On a cluster this setting names storage every executor can reach. Only when
-    it is unset (local runs and tests) a fresh local folder is created and
-    registered as the checkpoint directory.
+    On a cluster this setting names storage every executor can reach, so there
+    is no fallback: without it, this raises. Only a local session, where driver
+    and executors are one process, gets a folder of its own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="incidentlake-ckpt-")
     log.warning("spark.checkpoint.dir is unset; using local folder %s", local)
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
-    return local
+    return spark.sparkContext.getCheckpointDir()
+
+
+_scratch_of: dict[str, SparkSession] = {}
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own part of the shared folder. It is removed when the
+    Python process ends, or by ``remove_scratch``."""
+    root = f"{shared_scratch_dir(spark)}/incidentlake-{spark.sparkContext.applicationId}"
+    if root not in _scratch_of:
+        _scratch_of[root] = spark
+        atexit.register(remove_scratch, root)
+    return root
+
+
+def remove_scratch(root: str) -> None:
+    """Delete a scratch folder; results that still read from it end with it."""
+    spark = _scratch_of.pop(root, None)
+    if spark is None:
+        return
+    try:
+        context = spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception as e:  # the session may have ended before
+        log.debug("scratch folder %s stays: %s", root, e)
 
 
 def local_session(

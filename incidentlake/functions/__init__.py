@@ -9,6 +9,7 @@ from incidentlake.functions.formatting import (
 from incidentlake.functions.numeric import (
     exact_avg,
     half_even_round,
+    int_avg,
     safe_ratio,
     sql_round,
     to_double,
@@ -17,7 +18,6 @@ from incidentlake.functions.numeric import (
 from incidentlake.functions.temporal import hour_boundaries, to_timestamp_ntz
 from incidentlake.functions.text import (
     UNICODE_SPACES,
-    is_blank,
     mask_ipv4,
     norm_trim,
     norm_upper,
@@ -30,7 +30,7 @@ __all__ = [
     "format_fixed",
     "half_even_round",
     "hour_boundaries",
-    "is_blank",
+    "int_avg",
     "mask_ipv4",
     "norm_trim",
     "norm_upper",

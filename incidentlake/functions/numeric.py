@@ -9,29 +9,52 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimal used to make sums of doubles independent of summation order (N12).
-EXACT_SUM_TYPE = "decimal(18,6)"
+# Decimal used to make sums of doubles independent of summation order (N12), and
+# the magnitude below which a value may take part, so that a sum cannot overflow.
+EXACT_SUM_TYPE = "decimal(38,6)"
+EXACT_SUM_BOUND = 1e20
+
+# The numerals that lenient SQL casts accept. Spark's own cast also
+# takes Java forms (12.5d, 5F, 0x1p3), which are no numbers elsewhere.
+_DIGITS = r"\d+(?:_\d+)*"
+_NUMERAL = rf"^\s*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
+_NOT_FINITE = r"^\s*[+-]?(?i:nan|inf|infinity)\s*$"
+_HEXADECIMAL = r"^\s*0[xX]([0-9a-fA-F]+(?:_[0-9a-fA-F]+)*)\s*$"
+_BINARY = r"^\s*0[bB]([01]+(?:_[01]+)*)\s*$"
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _numeral(col: Column) -> Column:
+    """The text without digit separators where it is a numeral, else NULL."""
+    return F.when(col.rlike(_NUMERAL), F.translate(col, "_", ""))
+
+
 def to_double(c: Column | str) -> Column:
     """Text -> DOUBLE, NULL when unparsable (never raises under ANSI mode)."""
-    return _col(c).try_cast("double")
+    col = _col(c)
+    return F.coalesce(_numeral(col), F.when(col.rlike(_NOT_FINITE), col)).try_cast("double")
 
 
 def to_int(c: Column | str) -> Column:
     """Text -> INT the way SQL engines with lenient integer parsing do it.
 
-    ``'12.5'`` -> 13, ``'1e3'`` -> 1000, out of range or unparsable -> NULL.
-    Spark's own ``try_cast(... as int)`` rejects decimals and exponents, so
-    such text goes through DOUBLE and is rounded half away from zero. Plain
-    integers take the cheaper direct parse first (same result).
+    ``'12.5'`` -> 13, ``'1e3'`` -> 1000, ``'1_000'`` -> 1000, ``'0x1F'`` -> 31;
+    out of range or unparsable -> NULL. Spark's own ``try_cast(... as int)``
+    rejects decimals and exponents, so such text goes through DOUBLE and is
+    rounded half away from zero. Plain integers take the cheaper direct parse
+    first (same result).
     """
     col = _col(c)
-    return F.coalesce(col.try_cast("int"), F.round(to_double(col)).try_cast("int"))
+    text = _numeral(col)
+    other = lambda pattern, base: F.when(
+        col.rlike(pattern), F.conv(F.translate(F.regexp_extract(col, pattern, 1), "_", ""), base, 10)
+    ).try_cast("int")
+    return F.coalesce(
+        text.try_cast("int"), F.round(text.try_cast("double")).try_cast("int"), other(_HEXADECIMAL, 16), other(_BINARY, 2)
+    )
 
 
 def sql_round(c: Column | str, digits: int) -> Column:
@@ -52,15 +75,25 @@ def half_even_round(c: Column | str, digits: int) -> Column:
 
 
 def exact_avg(c: Column | str) -> Column:
-    """Average whose result does not depend on partitioning (N12).
+    """Average of doubles; no value is ever dropped or cut.
 
     A double sum depends on the order rows arrive in, and a rounding tie can
-    then flip between runs. Summing a fixed-point copy is exact and
-    associative, so every partitioning -- and the SQL oracle -- gets the same
-    double. Values outside ``decimal(18,6)`` (and NaN) count as NULL.
+    then flip between runs (N12). Where every value of the group survives the
+    trip through a decimal with six places, the decimals are summed instead:
+    exact and associative, so every partitioning -- and the SQL oracle -- gets
+    the same double. A group with any other value (more places, NaN, infinity,
+    or beyond the bound) is averaged as it is.
     """
-    d = _col(c).try_cast(EXACT_SUM_TYPE)
-    return F.sum(d).cast("double") / F.nullif(F.count(d), F.lit(0))
+    col = _col(c)
+    d = F.when(F.abs(col) < F.lit(EXACT_SUM_BOUND), col.try_cast(EXACT_SUM_TYPE))
+    lossy = F.count_if(col.isNotNull() & ~F.coalesce(d.cast("double") == col, F.lit(False)))
+    return F.when(lossy == 0, F.sum(d).cast("double") / F.nullif(F.count(col), F.lit(0))).otherwise(F.avg(col))
+
+
+def int_avg(c: Column | str) -> Column:
+    """Average of integers: the exact BIGINT sum over the count."""
+    col = _col(c)
+    return F.sum(col.cast("bigint")).cast("double") / F.nullif(F.count(col), F.lit(0))
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

@@ -13,9 +13,8 @@ UNICODE_SPACES = (
     "\u202f\u205f\u3000"
 )
 
-# Dotted-quad IPv4 pattern and its mask, which keeps the first
-# two octets (the network) and hides the host part: 103.216.15.12 -> 103.216.*.*
-IPV4_PATTERN = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
+# The mask of a dotted-quad IPv4 address keeps the first two octets
+# (the network) and hides the host part: 103.216.15.12 -> 103.216.*.*
 IPV4_NETWORK_MASK = "*.*"
 
 # Only the first IPv4 in a value is masked. Java's regexp_replace replaces every
@@ -51,11 +50,6 @@ def norm_upper(c: Column | str) -> Column:
     return F.upper(norm_trim(c))
 
 
-def is_blank(c: Column | str) -> Column:
-    """True when the value is NULL or only Unicode spaces."""
-    return _col(c).isNull() | (norm_trim(c) == F.lit(""))
-
-
 def mask_ipv4(c: Column | str) -> Column:
     """Replace the last two octets of the first IPv4 in the value by ``*.*``.
 

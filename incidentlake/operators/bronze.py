@@ -25,20 +25,23 @@ def rejected(bronze: DataFrame) -> DataFrame:
     return bronze.where(F.col(CORRUPT_RECORD).isNotNull())
 
 
-def profile_measures() -> list:
-    """Aggregates for accepted / rejected line counts (see ``load_profile``)."""
-    bad = F.col(CORRUPT_RECORD).isNotNull()
-    return [F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected")]
-
-
 def load_profile(bronze: DataFrame) -> DataFrame:
     """One row: accepted and rejected line counts, in a single pass.
 
-    Run it on the *stored* Bronze table (or observe it while writing, as the
-    Bronze job does): counting straight off a CSV scan is unreliable, because
-    Spark's CSV reader skips parsing unused columns and so cannot see which
-    lines are malformed.
+    Run it on the *stored* Bronze table: counting straight off a CSV scan is
+    unreliable, because Spark's CSV reader skips parsing unused columns and so
+    cannot see which lines are malformed.
     """
     if CORRUPT_RECORD not in bronze.columns:
         return bronze.agg(F.count(F.lit(1)).alias("rows"), F.lit(0).cast("bigint").alias("rejected"))
-    return bronze.agg(*profile_measures())
+    bad = F.col(CORRUPT_RECORD).isNotNull()
+    return bronze.agg(F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected"))
+
+
+def no_cut_values(bronze: DataFrame) -> None:
+    """Raise if a rejected line has an odd number of quotes: what follows a
+    quoted line break then stands alone, and the value before it was cut."""
+    line = F.col(CORRUPT_RECORD)
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    if not bronze.where(line.isNotNull() & (quotes % 2 == 1)).isEmpty():
+        raise ValueError("a quoted value holds a line break; read the log with multiline on")

@@ -27,6 +27,7 @@ from incidentlake.functions import (
 )
 from incidentlake.schemas import CRITICAL, GOLD_DIMS, SEVERITY_ORDER
 
+# The filter dimensions and the columns of the incident table.
 FILTER_DIMS: tuple[str, ...] = ("severity_level", "attack_type", "protocol")
 
 TABLE_COLUMNS: tuple[str, ...] = (
@@ -42,17 +43,18 @@ TABLE_COLUMNS: tuple[str, ...] = (
     "unique_source_networks",
 )
 
+# The incident table's headings, by column.
 DISPLAY_LABELS: dict[str, str] = {
-    "attack_type": "Attack Type",
-    "severity_level": "Severity",
-    "protocol": "Protocol",
-    "action_taken": "Action Taken",
-    "network_segment": "Network Segment",
-    "total_incidents": "Total Incidents",
-    "avg_anomaly_score": "Mean Score",
-    "malware_detected_count": "Malware Detected",
+    "attack_type": "Tipo de Ataque",
+    "severity_level": "Severidade",
+    "protocol": "Protocolo",
+    "action_taken": "Ação Tomada",
+    "network_segment": "Segmento de Rede",
+    "total_incidents": "Total Incidentes",
+    "avg_anomaly_score": "Score Médio",
+    "malware_detected_count": "Malware Detectado",
     "malware_pct": "% Malware",
-    "unique_source_networks": "Source Networks",
+    "unique_source_networks": "Redes Origem",
 }
 
 
@@ -190,17 +192,30 @@ def attack_protocol(filtered: DataFrame) -> DataFrame:
     return _sum_by(filtered, ["attack_type", "protocol"]).orderBy("attack_type", "protocol")
 
 
-def heatmap(filtered: DataFrame, protocols: Sequence[str] | None = None) -> DataFrame:
-    """Attack types as rows, protocols as columns, incidents in the cells
-    (missing combinations are 0). Without ``protocols`` the column set is the
-    protocols present, found by a distinct query over the filtered Gold."""
-    base = filtered.where(F.col("attack_type").isNotNull() & F.col("protocol").isNotNull())
-    grouped = base.groupBy("attack_type")
-    pivoted = (
-        grouped.pivot("protocol", list(protocols)) if protocols is not None else grouped.pivot("protocol")
-    ).agg(F.sum("total_incidents").cast("bigint"))
-    value_cols = [c for c in pivoted.columns if c != "attack_type"]
-    return pivoted.na.fill(0, subset=value_cols).orderBy("attack_type")
+def _cells(filtered: DataFrame) -> DataFrame:
+    return filtered.where(F.col("attack_type").isNotNull() & F.col("protocol").isNotNull())
+
+
+def heatmap(filtered: DataFrame, protocols: Sequence[str]) -> DataFrame:
+    """Attack types as rows, the given protocols (the filter's options) as
+    columns, incidents in the cells (missing combinations are 0)."""
+    pivoted = _cells(filtered).groupBy("attack_type").pivot("protocol", list(protocols)).agg(
+        F.sum("total_incidents").cast("bigint")
+    )
+    return pivoted.na.fill(0, subset=list(protocols)).orderBy("attack_type")
+
+
+def heatmap_cells(filtered: DataFrame) -> DataFrame:
+    """The heatmap with one row per cell, zero-filled: every attack type with
+    every protocol present. No column per protocol, so no limit to their number."""
+    found = _sum_by(filtered, ["attack_type", "protocol"])
+    protocols = found.agg(F.collect_set("protocol")).scalar()
+    grid = found.select("attack_type").distinct().select("attack_type", F.explode(protocols).alias("protocol"))
+    return (
+        grid.join(found, ["attack_type", "protocol"], "left")
+        .select("attack_type", "protocol", F.coalesce("total_incidents", F.lit(0)).alias("total_incidents"))
+        .orderBy("attack_type", "protocol")
+    )
 
 
 def anomaly_by_attack(filtered: DataFrame) -> DataFrame:

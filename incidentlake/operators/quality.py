@@ -24,20 +24,15 @@ def top_attacks(silver: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
-def silver_profile_measures() -> list:
-    """Aggregates for Silver rows and kept rows with unparsed values."""
-    return [
+def silver_profile(silver: DataFrame) -> DataFrame:
+    """One row: Silver rows and how many kept rows have unparsed values."""
+    return silver.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("timestamp").isNull()).alias("null_timestamp"),
         F.count_if(F.col("source_port").isNull()).alias("null_source_port"),
         F.count_if(F.col("destination_port").isNull()).alias("null_destination_port"),
         F.count_if(F.col("anomaly_score").isNull()).alias("null_anomaly_score"),
-    ]
-
-
-def silver_profile(silver: DataFrame) -> DataFrame:
-    """One row: Silver rows and how many kept rows have unparsed values."""
-    return silver.agg(*silver_profile_measures())
+    )
 
 
 def gold_summary(gold: DataFrame) -> DataFrame:

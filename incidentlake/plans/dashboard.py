@@ -37,13 +37,16 @@ def build_marts(
 
     The filtered frame is cached once and shared: Gold is bounded by the
     product of the dimension cardinalities, so it is small regardless of how
-    many log lines produced it. The one-row key figures are cached too, so the
+    many log lines produced it. An empty
+    selection gives the filtered frame alone. The one-row key figures are cached too, so the
     formatted figures do not recompute them. ``release`` drops both.
     """
     sel = selection or Selection()
     filtered = marts.filter_gold(gold, sel.severities, sel.attacks, sel.protocols)
     if cache:
         filtered = filtered.cache()
+    if marts.is_empty(filtered):  # nothing to show: no report is built
+        return {"filtered": filtered}
     kpi = marts.kpis(filtered)
     if cache:
         kpi = kpi.cache()  # one row, shared with its formatted form
@@ -54,7 +57,7 @@ def build_marts(
         "attack_volume": marts.attack_volume(filtered, top_attacks),
         "severity_share": marts.severity_share(filtered),
         "attack_protocol": marts.attack_protocol(filtered),
-        "heatmap": marts.heatmap(filtered),
+        "heatmap": marts.heatmap_cells(filtered),
         "anomaly_by_attack": marts.anomaly_by_attack(filtered),
         "severity_action": marts.severity_action(filtered),
         "malware_by_attack": marts.malware_by_attack(filtered),

@@ -1,95 +1,89 @@
 """Independent SQL statement of every registered query, for DuckDB.
 
-The SQL follows the source pipeline's own SQL semantics (TRY_CAST parsing,
-first-match REGEXP_REPLACE, DATE_DIFF hour boundaries, SQL ROUND), so a match
-checks the Spark re-expressions of those semantics, not just the plumbing.
-Averages use the fixed-point form on both sides and integer sums are cast to
-BIGINT (see README, "Decisions"). Tables ``events`` and ``documents`` are
-views registered by the checker.
+Written from the meaning of the layers, with its own literals; only the raw log
+itself (the fixture, SQL text over ``events``) is shared with the Spark side.
+TRY_CAST parsing, first-match REGEXP_REPLACE, DATE_DIFF hour boundaries and SQL
+ROUND are DuckDB's own, so a match checks the Spark re-expressions of those
+semantics, not just the plumbing. Tables ``events`` and ``documents`` are views
+registered by the checker.
 """
 
 from __future__ import annotations
 
-from incidentlake.schemas import (
-    GOLD_DIMS,
-    MALWARE_POSITIVE,
-    PII_COLUMNS,
-    RAW_COLUMNS,
-    SEVERITY_ORDER,
-    SILVER_SPEC,
-)
 from incidentlake.sources.events_log import raw_log_select_sql
 
 # The registered Bronze load writes every event whose id is a
 # multiple of this number as a malformed line (one field too many).
 MALFORMED_EVERY = 101
 
-_IPV4_FIRST = r"'(\d{1,3}\.\d{1,3})\.\d{1,3}\.\d{1,3}'"
-_IPV4_REPL = r"'\1.*.*'"
-
-_SQL_RULES = {
-    "timestamp": "TRY_CAST({c} AS TIMESTAMP)",
-    "int": "TRY_CAST({c} AS INTEGER)",
-    "double": "TRY_CAST({c} AS DOUBLE)",
-    "mask": "REGEXP_REPLACE({c}, " + _IPV4_FIRST + ", " + _IPV4_REPL + ")",
-    "upper": "UPPER(TRIM({c}))",
-    "trim": "TRIM({c})",
+# The choices of the registered filter and heatmap queries.
+GOLD_FILTER_SUBSET = {
+    "severities": ("HIGH", "CRITICAL"),
+    "attacks": ("DDOS", "MALWARE", "INTRUSION"),
+    "protocols": ("TCP", "UDP"),
 }
+HEATMAP_PROTOCOLS = ("ICMP", "TCP", "UDP")
+
+RAW_NAMES = (
+    "Timestamp", "Source IP Address", "Destination IP Address", "Source Port", "Destination Port", "Protocol",
+    "Packet Length", "Packet Type", "Traffic Type", "Payload Data", "Malware Indicators", "Anomaly Scores",
+    "Alerts/Warnings", "Attack Type", "Attack Signature", "Action Taken", "Severity Level", "User Information",
+    "Device Information", "Network Segment", "Geo-location Data", "Proxy Information", "Firewall Logs",
+    "IDS/IPS Alerts", "Log Source",
+)
 
 
-def q(name: str) -> str:
-    return '"' + name.replace('"', '""') + '"'
-
-
-def _lit_list(values) -> str:
-    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
-
+def _avg(c: str) -> str:
+    """Average of doubles: by exact decimals where no value of the group loses by them."""
+    kept = f"CASE WHEN abs({c}) < 1e20 THEN TRY_CAST({c} AS DECIMAL(38,6)) END"
+    lossy = f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT coalesce(CAST({kept} AS DOUBLE) = {c}, false))"
+    return f"CASE WHEN {lossy} = 0 THEN CAST(sum({kept}) AS DOUBLE) / nullif(count({c}), 0) ELSE avg({c}) END"
 
-def exact_avg_sql(c: str) -> str:
-    d = f"TRY_CAST({c} AS DECIMAL(18,6))"
-    return f"(CAST(SUM({d}) AS DOUBLE) / NULLIF(COUNT({d}), 0))"
 
+def _network(c: str) -> str:
+    # Fixed value: the pattern of the mask.
+    return f"""REGEXP_REPLACE("{c}", '(\\d{{1,3}}\\.\\d{{1,3}})\\.\\d{{1,3}}\\.\\d{{1,3}}', '\\1.*.*')"""
 
-def silver_select(rules=None) -> str:
-    return ",\n    ".join(
-        _SQL_RULES[rule].replace("{c}", q(raw)) + f" AS {name}"
-        for name, raw, rule in SILVER_SPEC
-        if rules is None or rule in rules
-    )
 
+TYPED = """TRY_CAST("Timestamp" AS TIMESTAMP) AS timestamp, TRY_CAST("Source Port" AS INTEGER) AS source_port,
+  TRY_CAST("Destination Port" AS INTEGER) AS destination_port, TRY_CAST("Packet Length" AS INTEGER) AS packet_length,
+  TRY_CAST("Anomaly Scores" AS DOUBLE) AS anomaly_score"""
+MASKED = f"""{_network('Source IP Address')} AS source_ip_masked, {_network('Destination IP Address')} AS destination_ip_masked"""
+NORMALISED = """upper(trim("Protocol")) AS protocol, upper(trim("Packet Type")) AS packet_type, upper(trim("Traffic Type")) AS traffic_type,
+  upper(trim("Attack Type")) AS attack_type, upper(trim("Attack Signature")) AS attack_signature, upper(trim("Action Taken")) AS action_taken,
+  upper(trim("Severity Level")) AS severity_level, upper(trim("Malware Indicators")) AS malware_indicators,
+  trim("Alerts/Warnings") AS alerts_warnings, trim("Network Segment") AS network_segment, trim("Geo-location Data") AS geo_location,
+  trim("Log Source") AS log_source, trim("Device Information") AS device_info, trim("IDS/IPS Alerts") AS ids_ips_alerts,
+  trim("Firewall Logs") AS firewall_logs"""
 
-DIMS = ", ".join(GOLD_DIMS)
+DIMS = "attack_type, severity_level, protocol, action_taken, network_segment"
 
 RAW_CTE = f"raw AS (\n  SELECT\n  {raw_log_select_sql()}\n  FROM events\n)"
 
-QUALITY_WHERE = (
-    f'{q("Timestamp")} IS NOT NULL AND {q("Attack Type")} IS NOT NULL '
-    f"AND TRIM({q('Attack Type')}) != ''"
-)
+QUALITY_WHERE = """"Timestamp" IS NOT NULL AND "Attack Type" IS NOT NULL AND trim("Attack Type") <> ''"""
 
-SILVER_CTE = f"silver AS (\n  SELECT\n    {silver_select()}\n  FROM raw\n  WHERE {QUALITY_WHERE}\n)"
+SILVER_CTE = f"silver AS (\n  SELECT {TYPED},\n  {MASKED},\n  {NORMALISED}\n  FROM raw WHERE {QUALITY_WHERE}\n)"
 
+# The rows that Gold counts, each with 1 or 0 for malware.
 BASE_CTE = f"""base AS (
-  SELECT {DIMS}, anomaly_score, packet_length, timestamp,
-         source_ip_masked, destination_ip_masked,
-         CASE WHEN malware_indicators IN ({_lit_list(MALWARE_POSITIVE)}) THEN 1 ELSE 0 END AS has_malware
-  FROM silver
-  WHERE attack_type IS NOT NULL
+  SELECT {DIMS}, anomaly_score, packet_length, timestamp, source_ip_masked, destination_ip_masked,
+         CAST(coalesce(malware_indicators = 'IOC DETECTED' OR malware_indicators = 'MALWARE DETECTED', false) AS INTEGER) AS has_malware
+  FROM silver WHERE attack_type IS NOT NULL
 )"""
 
 GOLD_MEASURE_SQL = {
-    "total_incidents": "COUNT(*)",
-    "avg_anomaly_score": f"ROUND({exact_avg_sql('anomaly_score')}, 4)",
-    "max_anomaly_score": "ROUND(MAX(anomaly_score), 4)",
-    "avg_packet_length": f"ROUND({exact_avg_sql('packet_length')}, 2)",
-    "max_packet_length": "MAX(packet_length)",
-    "malware_detected_count": "CAST(SUM(has_malware) AS BIGINT)",
-    "malware_pct": "ROUND(CAST(100.0 AS DOUBLE) * SUM(has_malware) / NULLIF(COUNT(*), 0), 2)",
-    "unique_source_networks": "COUNT(DISTINCT source_ip_masked)",
-    "unique_dest_networks": "COUNT(DISTINCT destination_ip_masked)",
-    "first_seen": "MIN(timestamp)",
-    "last_seen": "MAX(timestamp)",
-    "duration_hours": "DATE_DIFF('hour', MIN(timestamp), MAX(timestamp))",
+    "total_incidents": "count(*)",
+    "avg_anomaly_score": f"round({_avg('anomaly_score')}, 4)",
+    "max_anomaly_score": "round(max(anomaly_score), 4)",
+    "avg_packet_length": "round(CAST(sum(packet_length) AS DOUBLE) / nullif(count(packet_length), 0), 2)",
+    "max_packet_length": "max(packet_length)",
+    "malware_detected_count": "CAST(sum(has_malware) AS BIGINT)",
+    "malware_pct": "round(CAST(100.0 AS DOUBLE) * sum(has_malware) / nullif(count(*), 0), 2)",
+    "unique_source_networks": "count(DISTINCT source_ip_masked)",
+    "unique_dest_networks": "count(DISTINCT destination_ip_masked)",
+    "first_seen": "min(timestamp)",
+    "last_seen": "max(timestamp)",
+    "duration_hours": "date_diff('hour', min(timestamp), max(timestamp))",
 }
 
 
@@ -106,6 +100,10 @@ FILTERED_CTE = (
 )
 
 
+def _lit_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
@@ -131,24 +129,17 @@ def over_filtered(body: str) -> str:
 
 
 def _sev_rank_sql(c: str) -> str:
-    whens = " ".join(f"WHEN '{lvl}' THEN {i}" for i, lvl in enumerate(SEVERITY_ORDER, 1))
-    return f"CASE {c} {whens} END"
+    return f"CASE {c} WHEN 'LOW' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'HIGH' THEN 3 WHEN 'CRITICAL' THEN 4 END"
 
 
 def _gold_measures(*names: str) -> str:
     return over_base(gold_select(names))
 
 
-GOLD_FILTER_SUBSET = {
-    "severities": ("HIGH", "CRITICAL"),
-    "attacks": ("DDOS", "MALWARE", "INTRUSION"),
-    "protocols": ("TCP", "UDP"),
-}
-
 _KPI_BODY = f"""kpis AS (
   SELECT CAST(COALESCE(SUM(total_incidents), 0) AS BIGINT) AS total_incidents,
          COUNT(DISTINCT attack_type) AS distinct_attacks,
-         {exact_avg_sql('avg_anomaly_score')} AS avg_anomaly,
+         {_avg('avg_anomaly_score')} AS avg_anomaly,
          CAST(COALESCE(SUM(malware_detected_count), 0) AS BIGINT) AS total_malware,
          CAST(COALESCE(SUM(CASE WHEN severity_level = 'CRITICAL' THEN total_incidents END), 0) AS BIGINT) AS critical_count,
          CAST(COALESCE(SUM(unique_source_networks), 0) AS BIGINT) AS distinct_networks
@@ -160,6 +151,8 @@ _TABLE_COLS = (
     "avg_anomaly_score, malware_detected_count, malware_pct, unique_source_networks"
 )
 
+_TABLE_ORDER = ", ".join(f"{d} ASC NULLS LAST" for d in DIMS.split(", "))
+
 _MALWARE_PCT = "round_even(100 * malware / total, 2)"
 
 
@@ -231,15 +224,21 @@ def mart_sql(gold_cte: str | None = None) -> dict[str, str]:
             "SELECT attack_type, protocol, CAST(SUM(total_incidents) AS BIGINT) AS total_incidents "
             "FROM filtered GROUP BY attack_type, protocol"
         ),
-        # DuckDB names the pivot column of an empty-string protocol "''"; Spark
-        # (like pandas) names it ''. The registered data has no blank protocol.
-        "mart_heatmap": _on_filtered(ctes, 
-            "SELECT attack_type, COALESCE(COLUMNS(* EXCLUDE (attack_type)), 0) FROM ("
-            "PIVOT (SELECT attack_type, protocol, total_incidents FROM filtered) "
-            "ON protocol USING CAST(SUM(total_incidents) AS BIGINT) GROUP BY attack_type)"
+        "mart_heatmap": _on_filtered(ctes,
+            "SELECT attack_type, "
+            + ", ".join(
+                f"CAST(coalesce(sum(CASE WHEN protocol = '{p}' THEN total_incidents END), 0) AS BIGINT) AS \"{p}\""
+                for p in HEATMAP_PROTOCOLS
+            )
+            + " FROM filtered GROUP BY attack_type"
+        ),
+        "mart_heatmap_cells": _on_filtered(ctes,
+            "SELECT a.attack_type, p.protocol, CAST(coalesce(sum(f.total_incidents), 0) AS BIGINT) AS total_incidents "
+            "FROM (SELECT DISTINCT attack_type FROM filtered) a CROSS JOIN (SELECT DISTINCT protocol FROM filtered) p "
+            "LEFT JOIN filtered f ON f.attack_type = a.attack_type AND f.protocol = p.protocol GROUP BY 1, 2"
         ),
         "mart_anomaly": _on_filtered(ctes, 
-            f"SELECT attack_type, {exact_avg_sql('avg_anomaly_score')} AS avg_anomaly, "
+            f"SELECT attack_type, {_avg('avg_anomaly_score')} AS avg_anomaly, "
             "MAX(max_anomaly_score) AS max_anomaly FROM filtered GROUP BY attack_type"
         ),
         "mart_severity_action": _on_filtered(ctes, 
@@ -257,38 +256,43 @@ def mart_sql(gold_cte: str | None = None) -> dict[str, str]:
         ),
         "mart_top_incidents": _on_filtered(ctes, 
             f"SELECT {_TABLE_COLS} FROM filtered ORDER BY total_incidents DESC, "
-            "avg_anomaly_score DESC, "
-            + ", ".join(f"{d} ASC NULLS LAST" for d in GOLD_DIMS)
-            + " LIMIT 50"
+            f"avg_anomaly_score DESC, {_TABLE_ORDER} LIMIT 50"
+        ),
+        "mart_top_incidents_labelled": _on_filtered(ctes,
+            "SELECT attack_type AS \"Tipo de Ataque\", severity_level AS \"Severidade\", protocol AS \"Protocolo\", "
+            "action_taken AS \"Ação Tomada\", network_segment AS \"Segmento de Rede\", total_incidents AS \"Total Incidentes\", "
+            "avg_anomaly_score AS \"Score Médio\", malware_detected_count AS \"Malware Detectado\", malware_pct AS \"% Malware\", "
+            "unique_source_networks AS \"Redes Origem\" FROM filtered ORDER BY total_incidents DESC, "
+            f"avg_anomaly_score DESC, {_TABLE_ORDER} LIMIT 50"
         ),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    raw_cols = ", ".join(q(c) for c in RAW_COLUMNS)
-    kept = ", ".join(q(c) for c in RAW_COLUMNS if c not in PII_COLUMNS)
-    silver_data = ", ".join(s for s, _, _ in SILVER_SPEC)
-    sub = GOLD_FILTER_SUBSET
+    quoted = lambda names: ", ".join(f'"{c}"' for c in names)
+    raw_cols = quoted(RAW_NAMES)
+    kept = quoted(c for c in RAW_NAMES if c not in ("Payload Data", "User Information", "Proxy Information"))
+    broken = ", ".join(
+        f"concat(\"{c}\", chr(10), '\"end\"') AS \"{c}\"" if c in ("Payload Data", "Log Source") else f'"{c}"' for c in RAW_NAMES
+    )
     return {
         "raw_log": over_raw(f"SELECT {raw_cols} FROM raw"),
         "bronze_roundtrip": over_raw(f"SELECT {raw_cols} FROM raw"),
+        "bronze_linebreaks": over_raw(f"SELECT {broken} FROM raw"),
         "bronze_load_profile": (
             f"SELECT COUNT(*) FILTER (WHERE event_id % {MALFORMED_EVERY} <> 0) AS rows, "
             f"COUNT(*) FILTER (WHERE event_id % {MALFORMED_EVERY} = 0) AS rejected FROM events"
         ),
-        "typed_columns": over_raw(
-            f"SELECT {silver_select(('timestamp', 'int', 'double'))} FROM raw"
-        ),
-        "masked_ips": over_raw(f"SELECT {silver_select(('mask',))} FROM raw"),
+        "typed_columns": over_raw(f"SELECT {TYPED} FROM raw"),
+        "masked_ips": over_raw(f"SELECT {MASKED} FROM raw"),
         "masked_ips_documents": (
-            "SELECT doc_id, REGEXP_REPLACE(text, " + _IPV4_FIRST + ", " + _IPV4_REPL
-            + ") AS text_masked FROM documents"
+            f"SELECT doc_id, {_network('text')} AS text_masked FROM documents"
         ),
-        "normalised_text": over_raw(f"SELECT {silver_select(('upper', 'trim'))} FROM raw"),
+        "normalised_text": over_raw(f"SELECT {NORMALISED} FROM raw"),
         "pii_dropped": over_raw(f"SELECT {kept} FROM raw"),
         "quality_filter": over_raw(f"SELECT {raw_cols} FROM raw WHERE {QUALITY_WHERE}"),
-        "silver": over_silver(f"SELECT {silver_data} FROM silver"),
-        "streaming_silver": over_silver(f"SELECT {silver_data} FROM silver"),
+        "silver": over_silver("SELECT * FROM silver"),
+        "streaming_silver": over_silver("SELECT * FROM silver"),
         "silver_count": over_silver("SELECT COUNT(*) AS rows FROM silver"),
         "silver_profile": over_silver(
             "SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE timestamp IS NULL) AS null_timestamp, "
@@ -315,7 +319,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT COUNT(*) AS total_rows, CAST(SUM(total_incidents) AS BIGINT) AS total_incidents, "
             "COUNT(DISTINCT attack_type) AS distinct_attack_types, "
             "COUNT(DISTINCT protocol) AS distinct_protocols, "
-            f"ROUND({exact_avg_sql('avg_anomaly_score')}, 3) AS overall_avg_anomaly FROM gold"
+            f"ROUND({_avg('avg_anomaly_score')}, 3) AS overall_avg_anomaly FROM gold"
         ),
         **mart_sql(),
     }

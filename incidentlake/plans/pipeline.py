@@ -1,14 +1,11 @@
 """Layer jobs: CSV -> Bronze -> Silver -> Gold, each stored as Parquet.
 
 Layers are coupled only through their stored output, so any layer can be
-re-run alone; writes replace the target, so re-runs are idempotent. Each job
-returns a ``LayerReport``. Row profiles are observed while writing
-(``DataFrame.observe``): the Bronze and Silver writes are single-stage jobs, so
-the metrics come from the final stage, where Spark applies each task's update
-exactly once even when tasks are retried. Top attacks and the Gold summary are
-read back from the stored layer. Writing each layer also cuts lineage: a lost
-executor never forces a recomputation further back than the previous stored
-layer.
+re-run alone; a write replaces the target only when it is complete, so re-runs
+are idempotent and a failed one leaves the old layer. Each job returns a
+``LayerReport`` whose counts are read back from what is stored. Writing each
+layer also cuts lineage: a lost executor never forces a recomputation further
+back than the previous stored layer.
 """
 
 from __future__ import annotations
@@ -18,13 +15,13 @@ import time
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from incidentlake.config import LayerConfig
-from incidentlake.operators.bronze import land, profile_measures
+from incidentlake.operators.bronze import land, load_profile, no_cut_values
 from incidentlake.operators.gold import to_gold
-from incidentlake.operators.quality import gold_summary, silver_profile_measures, top_attacks
+from incidentlake.operators.quality import gold_summary, silver_profile, top_attacks
 from incidentlake.operators.silver import to_silver
 from incidentlake.sinks import write_layer
 from incidentlake.sources import first_existing, read_bronze, read_layer, read_raw_csv
@@ -49,24 +46,22 @@ def run_bronze(spark: SparkSession, cfg: LayerConfig) -> LayerReport:
     Column names and order come from the file header (as a header-driven CSV
     reader would take them); every expected column must be present and every
     file's header must agree. Malformed lines are stored too, flagged by
-    ``_corrupt_record``: one scan of
-    the source, one write, and the rejects stay inspectable. The accepted and
-    rejected counts are observed while writing (every column is parsed then,
-    so the counts are exact) instead of re-scanning the stored table.
+    ``_corrupt_record``, so the rejects stay inspectable. The accepted and
+    rejected counts are read back from the stored table.
     """
     t0 = time.perf_counter()
     source = first_existing(spark, cfg.raw_csv)
     raw = read_raw_csv(
         spark, source, multiline=cfg.multiline_csv, from_header=cfg.columns_from_header
     )
-    obs = Observation()  # unique name: safe with concurrent runs
     write_layer(
-        land(raw).observe(obs, *profile_measures()),
+        land(raw),
         cfg.bronze,
         rows_per_group=cfg.row_group_rows,
         partition_by=cfg.partition_by.get("bronze", ()),
+        check=None if cfg.multiline_csv else no_cut_values,
     )
-    prof = obs.get
+    prof = load_profile(read_layer(spark, cfg.bronze)).first()
     report = LayerReport(
         "bronze", cfg.bronze, int(prof["rows"]), time.perf_counter() - t0,
         {"source": source, "rejected": int(prof["rejected"])},
@@ -77,18 +72,17 @@ def run_bronze(spark: SparkSession, cfg: LayerConfig) -> LayerReport:
 
 
 def run_silver(spark: SparkSession, cfg: LayerConfig, top_k: int = 5) -> LayerReport:
-    """Bronze -> Silver; the row profile is observed during the write, the top
-    attacks are read back from the stored layer (one column)."""
+    """Bronze -> Silver; the row profile and the top attacks are read back from
+    the stored layer."""
     t0 = time.perf_counter()
-    obs = Observation()
     write_layer(
-        to_silver(read_bronze(spark, cfg.bronze)).observe(obs, *silver_profile_measures()),
+        to_silver(read_bronze(spark, cfg.bronze)),
         cfg.silver,
         rows_per_group=cfg.row_group_rows,
         partition_by=cfg.partition_by.get("silver", ()),
     )
-    prof = dict(obs.get)
     stored = read_layer(spark, cfg.silver)
+    prof = silver_profile(stored).first().asDict()
     top = [(r["attack_type"], int(r["total"])) for r in top_attacks(stored, top_k).collect()]
     rows = int(prof.pop("rows"))
     report = LayerReport("silver", cfg.silver, rows, time.perf_counter() - t0,
@@ -152,7 +146,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Bronze -> Silver -> Gold")
     parser.add_argument("--layer", choices=[*LAYERS, "all"], default="all")
     args = parser.parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s | %(levelname)-8s | %(message)s")
+    logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s")
     builder = SparkSession.builder.appName("incidentlake-pipeline").config(
         "spark.ui.enabled", "false"
     )

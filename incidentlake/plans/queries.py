@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentlake.config import LayerConfig, shared_scratch_dir
+from incidentlake.config import LayerConfig, scratch_root
 from incidentlake.functions import mask_ipv4
 from incidentlake.operators import marts
 from incidentlake.operators.bronze import accepted, land, load_profile
@@ -28,7 +28,7 @@ from incidentlake.operators.silver import (
     to_silver,
     typed_columns,
 )
-from incidentlake.plans.oracle import GOLD_FILTER_SUBSET, MALFORMED_EVERY
+from incidentlake.plans.oracle import GOLD_FILTER_SUBSET, HEATMAP_PROTOCOLS, MALFORMED_EVERY
 from incidentlake.plans.pipeline import run_pipeline
 from incidentlake.schemas import GOLD_CREATED_AT, INGESTED_AT, PROCESSED_AT, RAW_COLUMNS
 from incidentlake.sinks import write_csv, write_layer
@@ -38,7 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _scratch(spark: SparkSession, what: str) -> str:
-    return f"{shared_scratch_dir(spark)}/incidentlake/{what}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{what}-{uuid.uuid4().hex}"
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +66,16 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_linebreaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log with a quoted line break (and quotes) in a middle and in the
+    last column of every row -> CSV files -> reader; only accepted rows."""
+    path = _scratch(spark, "raw-breaks")
+    broken = lambda c: F.concat(F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit('\n"end"')).alias(c)
+    log = raw_log(spark, sf_dir)
+    write_csv(log.select(*(broken(c) if c in ("Payload Data", "Log Source") else F.col(f"`{c}`") for c in RAW_COLUMNS)), path)
+    return accepted(read_raw_csv(spark, path)).select(*(f"`{c}`" for c in RAW_COLUMNS))
+
+
 def _csv_field(c: Column) -> Column:
     quoted = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
     return F.when(c.isNull(), F.lit("")).otherwise(quoted)
@@ -128,6 +138,7 @@ def queries() -> dict[str, Query]:
     return {
         "raw_log": raw_log,
         "bronze_roundtrip": bronze_roundtrip,
+        "bronze_linebreaks": bronze_linebreaks,
         "bronze_load_profile": bronze_load_profile,
         "typed_columns": lambda s, d: typed_columns(raw_log(s, d)),
         "masked_ips": lambda s, d: masked_ips(raw_log(s, d)),
@@ -162,11 +173,13 @@ def queries() -> dict[str, Query]:
         "mart_attack_volume": lambda s, d: marts.attack_volume(_filtered(s, d), 12),
         "mart_severity_share": lambda s, d: marts.severity_share(_filtered(s, d)),
         "mart_attack_protocol": lambda s, d: marts.attack_protocol(_filtered(s, d)),
-        "mart_heatmap": lambda s, d: marts.heatmap(_filtered(s, d)),
+        "mart_heatmap": lambda s, d: marts.heatmap(_filtered(s, d), HEATMAP_PROTOCOLS),
+        "mart_heatmap_cells": lambda s, d: marts.heatmap_cells(_filtered(s, d)),
         "mart_anomaly": lambda s, d: marts.anomaly_by_attack(_filtered(s, d)),
         "mart_severity_action": lambda s, d: marts.severity_action(_filtered(s, d)),
         "mart_malware_pct": lambda s, d: marts.malware_by_attack(_filtered(s, d)),
         "mart_top_incidents": lambda s, d: marts.top_incidents(_filtered(s, d), 50),
+        "mart_top_incidents_labelled": lambda s, d: marts.top_incidents(_filtered(s, d), 50, marts.DISPLAY_LABELS),
     }
 
 

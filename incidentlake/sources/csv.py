@@ -15,15 +15,19 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def csv_options(multiline: bool = False) -> dict[str, str]:
+def csv_options(multiline: bool = True) -> dict[str, str]:
     """Reader options for the raw log, shared by batch and streaming reads.
 
     RFC 4180 quoting (a quote inside a quoted field is doubled); empty text and
     quoted "" are NULL (``emptyValue`` is left alone on purpose); malformed
-    lines are kept and flagged in ``_corrupt_record``.
+    lines are kept and flagged in ``_corrupt_record``. Quoted line breaks are
+    part of a value unless ``multiline`` is off. Every file's header is checked
+    against the declared names, so a reordered file raises instead of shifting
+    columns.
     """
     return {
         "header": "true",
+        "enforceSchema": "false",
         "quote": '"',
         "escape": '"',
         "nullValue": "",
@@ -46,39 +50,41 @@ def _reader(spark: SparkSession, multiline: bool):
     return spark.read.options(**csv_options(multiline))
 
 
+def _read_first_line(jvm, fs, codecs, status) -> str | None:
+    name = status.getPath().getName()
+    if not status.isFile() or name.startswith(("_", ".")) or status.getLen() == 0:
+        return None
+    raw = fs.open(status.getPath())
+    try:
+        codec = codecs.getCodec(status.getPath())
+        stream = codec.createInputStream(raw) if codec else raw
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        raw.close()
+
+
 def _first_line(spark: SparkSession, paths: Sequence[str]) -> str | None:
-    """First line of the first data file (sorted by path) under ``paths``,
-    read through the Hadoop FileSystem API: any URI scheme, globs, directories,
-    compression codecs. Reads one line on the driver; no Spark job."""
+    """First line of a data file under ``paths``, read through the Hadoop
+    FileSystem API: any URI scheme, globs, directories, compression codecs.
+    Reads one line on the driver; no Spark job. Any file will do, since the
+    reader checks every file's header against these names."""
     sc = spark.sparkContext
     jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
     codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
     for p in paths:
         hpath = jvm.org.apache.hadoop.fs.Path(p)
         fs = hpath.getFileSystem(conf)
-        files = []
         for st in fs.globStatus(hpath) or []:
-            if st.isDirectory():
-                files.extend(f for f in fs.listStatus(st.getPath()) if f.isFile())
-            else:
-                files.append(st)
-        for st in sorted(files, key=lambda f: f.getPath().toString()):
-            if st.getPath().getName().startswith(("_", ".")) or st.getLen() == 0:
-                continue
-            raw = fs.open(st.getPath())
-            try:
-                codec = codecs.getCodec(st.getPath())
-                stream = codec.createInputStream(raw) if codec else raw
-                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-                line = reader.readLine()
-            finally:
-                raw.close()
-            if line:
-                return line.lstrip("\ufeff")
+            # an iterator: a folder of millions of files is not listed whole
+            files = fs.listLocatedStatus(st.getPath())
+            while files.hasNext():
+                line = _read_first_line(jvm, fs, codecs, files.next())
+                if line:
+                    return line.lstrip("\ufeff")
     return None
 
 
-def header_columns(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False):
+def header_columns(spark: SparkSession, paths: str | Sequence[str], multiline: bool = True):
     """Column names from the header line of the first file (reads one line).
 
     A header with a quoted line break falls back to Spark's own header
@@ -94,7 +100,7 @@ def read_raw_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     *,
-    multiline: bool = False,
+    multiline: bool = True,
     columns: Sequence[str] | None = None,
     from_header: bool = False,
     infer_types: bool = False,
@@ -103,7 +109,8 @@ def read_raw_csv(
 
     * Columns are declared, not inferred: every value lands as text and typing
       happens in Silver, so one bad value can never retype or drop a column.
-      ``infer_types=True`` switches to Spark's type inference (one extra pass).
+      ``infer_types=True`` takes the types from Spark's inference (one extra
+      pass); malformed lines are flagged all the same.
     * The header is checked against the declared names in every file
       (``enforceSchema=false``); a reordered file raises instead of silently
       shifting columns. ``from_header=True`` takes the names and order from
@@ -111,9 +118,10 @@ def read_raw_csv(
     * Malformed lines (too many or too few fields) are kept, with the original
       line in ``_corrupt_record``, so they can be counted and stored apart
       instead of vanishing.
-    * ``multiline=False`` keeps files splittable (parallel reads of one large
-      file). Set it only when quoted fields contain line breaks: each file is
-      then read by a single task.
+    * Quoted line breaks belong to the value, so each file is read by a single
+      task; many files are the unit of parallelism. ``multiline=False`` splits
+      large files, for logs known to hold one line per record; the Bronze job
+      then fails if a rejected line shows that a quoted break was cut.
     """
     plist = _paths(paths)
     if from_header:
@@ -125,10 +133,8 @@ def read_raw_csv(
         names = list(columns or RAW_COLUMNS)
     reader = _reader(spark, multiline)
     if infer_types:
-        df = reader.option("inferSchema", True).option("enforceSchema", False).csv(plist)
-        if CORRUPT_RECORD not in df.columns:
-            from pyspark.sql import functions as F
-
-            df = df.withColumn(CORRUPT_RECORD, F.lit(None).cast("string"))
-        return df
-    return reader.schema(raw_read_schema(names)).option("enforceSchema", False).csv(plist)
+        inferred = reader.option("inferSchema", True).csv(plist).schema
+        kept = [f for f in inferred if f.name != CORRUPT_RECORD]
+        schema = T.StructType([*kept, T.StructField(CORRUPT_RECORD, T.StringType(), True)])
+        return _reader(spark, multiline).schema(schema).csv(plist)
+    return reader.schema(raw_read_schema(names)).csv(plist)

@@ -11,11 +11,12 @@ from incidentlake.schemas import CORRUPT_RECORD
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` exists, for any filesystem URI Hadoop understands."""
+    """True when ``path`` (or anything that it matches, for a pattern) exists,
+    for any filesystem URI Hadoop understands."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    return bool(fs.globStatus(hpath))
 
 
 def first_existing(spark: SparkSession, candidates: Sequence[str]) -> str:

@@ -7,6 +7,10 @@ where it stopped and never lands a file twice. With ``available_now`` the
 query drains what is there and stops -- a cheap scheduled incremental run.
 Gold needs exact distinct counts, which streaming aggregation does not
 support, so it is refreshed in batch from the stored Silver table.
+
+A streaming sink keeps a log of its files, and readers then see only those. So
+a stream refuses a target that a batch job wrote: land increments in layers of
+their own, or run the batch jobs again over all files, which replace the target.
 """
 
 from __future__ import annotations
@@ -19,7 +23,8 @@ from incidentlake.config import LayerConfig
 from incidentlake.operators.bronze import accepted, land
 from incidentlake.operators.silver import to_silver
 from incidentlake.plans.pipeline import LayerReport, run_gold
-from incidentlake.schemas import INGESTED_AT
+from incidentlake.schemas import CORRUPT_RECORD, INGESTED_AT, RAW_COLUMNS
+from incidentlake.sources import header_columns, path_exists
 from incidentlake.sources.csv import csv_options, raw_read_schema
 
 
@@ -27,7 +32,13 @@ def bronze_stream_schema() -> T.StructType:
     return raw_read_schema().add(T.StructField(INGESTED_AT, T.TimestampType(), True))
 
 
+def _refuse_batch_target(spark: SparkSession, path: str) -> None:
+    if path_exists(spark, path) and not path_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{path} was written by a batch job; a stream into it would hide its rows")
+
+
 def _start(df, path: str, checkpoint: str, available_now: bool):
+    _refuse_batch_target(df.sparkSession, path)
     w = df.writeStream.format("parquet").option("path", path).option(
         "checkpointLocation", checkpoint
     )
@@ -41,15 +52,21 @@ def stream_bronze(
     bronze_path: str,
     checkpoint: str,
     *,
-    multiline: bool = False,
+    multiline: bool = True,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """New CSV files in ``source_dir`` -> Bronze Parquet (rejects flagged)."""
-    reader = spark.readStream.options(**csv_options(multiline)).schema(raw_read_schema())
+    """New CSV files in ``source_dir`` -> Bronze Parquet (rejects flagged). The
+    column order comes from a file's header; all files must have the same."""
+    names = header_columns(spark, source_dir, multiline)
+    missing = [c for c in RAW_COLUMNS if c not in names]
+    if missing:
+        raise ValueError(f"CSV header lacks columns: {missing}")
+    reader = spark.readStream.options(**csv_options(multiline)).schema(raw_read_schema(names))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _start(land(reader.csv(source_dir)), bronze_path, checkpoint, available_now)
+    raw = reader.csv(source_dir).select(*(f"`{c}`" for c in RAW_COLUMNS), CORRUPT_RECORD)
+    return _start(land(raw), bronze_path, checkpoint, available_now)
 
 
 def stream_silver(

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from incidentlake.functions import (
     UNICODE_SPACES,
     exact_avg,
+    int_avg,
     format_fixed,
     half_even_round,
     hour_boundaries,
-    is_blank,
     mask_ipv4,
     norm_trim,
     norm_upper,
@@ -133,11 +133,6 @@ def test_norm_trim_unicode_spaces(spark):
     assert got == ["abc", "a b", "\tabc\t", "\u200babc\ufeff", "ascii", None, "", "", "é"]
 
 
-def test_norm_upper_and_blank(spark):
-    df = spark.createDataFrame([(" tcp ",), ("\u00a0Icmp\u3000",), ("   ",), (None,)], "x string")
-    rows = df.select(norm_upper("x"), is_blank("x")).collect()
-    assert [tuple(r) for r in rows] == [("TCP", False), ("ICMP", False), ("", True), (None, True)]
-
 
 def test_exact_avg_is_partitioning_independent(spark):
     rng = random.Random(3)
@@ -154,3 +149,16 @@ def test_exact_avg_nulls_and_empty(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, 1.5), (2, None)], "k int, v double")
     got = dict(df.groupBy("k").agg(exact_avg("v").alias("a")).collect())
     assert got == {1: None, 2: 1.5}
+
+
+def test_exact_avg_drops_and_cuts_nothing(spark):
+    rows = [(1, 5e12), (1, 10.0), (2, 4e-7), (2, 4e-7), (3, float("nan")), (3, 1.0), (4, float("inf")), (4, 1.0), (5, 1e300), (5, 1e300), (6, -1e12), (6, None)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    got = dict(df.groupBy("k").agg(exact_avg("v").alias("a")).collect())
+    assert math.isnan(got.pop(3))
+    assert got == {1: 2500000000005.0, 2: 4e-7, 4: float("inf"), 5: 1e300, 6: -1e12}
+
+
+def test_int_avg(spark):
+    df = spark.createDataFrame([(1, 2**31 - 1), (1, 2**31 - 2), (2, None)], "k int, v int")
+    assert dict(df.groupBy("k").agg(int_avg("v").alias("a")).collect()) == {1: 2**31 - 1.5, 2: None}

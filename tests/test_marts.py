@@ -76,13 +76,26 @@ def test_severity_action_order_and_unknown_levels(spark):
 
 def test_heatmap_fills_missing_cells(spark):
     g = gold(spark, [row("X", p="TCP", n=2), row("Y", p="UDP", n=3), row("X", p="TCP", act="B", n=1)])
-    out = marts.heatmap(marts.filter_gold(g))
+    out = marts.heatmap(marts.filter_gold(g), ["TCP", "UDP"])
     assert out.columns == ["attack_type", "TCP", "UDP"]
     assert [tuple(r) for r in out.collect()] == [("X", 3, 0), ("Y", 0, 3)]
     fixed = marts.heatmap(marts.filter_gold(g), protocols=["ICMP", "TCP"])
     assert fixed.columns == ["attack_type", "ICMP", "TCP"]
 
 
+def test_heatmap_cells_have_no_limit(spark):
+    wide = spark.range(10_050).selectExpr("concat('A', id % 2) AS attack_type", "concat('p', id) AS protocol", "id AS total_incidents")
+    out = marts.heatmap_cells(wide)
+    assert out.count() == 2 * 10_050
+    assert out.agg({"total_incidents": "sum"}).first()[0] == sum(range(10_050))
+    assert out.where("total_incidents = 0").count() == 10_050 + 1
+
+
+def test_empty_selection_builds_no_reports(spark):
+    bundle = build_marts(gold(spark, [row("X", s="LOW")]), Selection(severities=["HIGH"]))
+    assert set(bundle) == {"filtered"}
+
+
 def test_severity_share_sums_to_100(spark):
     g = gold(spark, [row("X", s="LOW", n=1), row("X", s="HIGH", n=3)])
     out = marts.severity_share(marts.filter_gold(g)).collect()
@@ -99,10 +112,10 @@ def test_malware_pct_half_even_and_label(spark):
 def test_top_incidents_limit_order_and_labels(spark):
     g = gold(spark, [row(f"A{i:02d}", n=1 + i % 7, avg=float(i)) for i in range(60)])
     out = marts.top_incidents(marts.filter_gold(g), 50, marts.DISPLAY_LABELS)
-    assert out.columns[0] == "Attack Type" and len(out.columns) == 10
+    assert out.columns[0] == "Tipo de Ataque" and len(out.columns) == 10
     rows = out.collect()
     assert len(rows) == 50
-    keys = [(r["Total Incidents"], r["Mean Score"]) for r in rows]
+    keys = [(r["Total Incidentes"], r["Score Médio"]) for r in rows]
     assert keys == sorted(keys, reverse=True)
 
 

@@ -8,8 +8,8 @@ import random
 import duckdb
 
 from incidentlake.operators import marts
-from incidentlake.plans.compare import compare
-from incidentlake.plans.oracle import GOLD_FILTER_SUBSET, mart_sql
+from compare import compare
+from incidentlake.plans.oracle import GOLD_FILTER_SUBSET, HEATMAP_PROTOCOLS, mart_sql
 
 SCHEMA = (
     "attack_type string, severity_level string, protocol string, action_taken string, "
@@ -50,11 +50,13 @@ def spark_marts(gold):
         "mart_attack_volume": marts.attack_volume(f, 12),
         "mart_severity_share": marts.severity_share(f),
         "mart_attack_protocol": marts.attack_protocol(f),
-        "mart_heatmap": marts.heatmap(f),
+        "mart_heatmap": marts.heatmap(f, HEATMAP_PROTOCOLS),
+        "mart_heatmap_cells": marts.heatmap_cells(f),
         "mart_anomaly": marts.anomaly_by_attack(f),
         "mart_severity_action": marts.severity_action(f),
         "mart_malware_pct": marts.malware_by_attack(f),
         "mart_top_incidents": marts.top_incidents(f, 50),
+        "mart_top_incidents_labelled": marts.top_incidents(f, 50, marts.DISPLAY_LABELS),
     }
 
 

@@ -88,6 +88,9 @@ def test_infer_types_option(spark, scratch):
     df = read_raw_csv(spark, p, columns=COLS, infer_types=True)
     assert dict(df.dtypes)["Source Port"] == "int"
     assert "_corrupt_record" in df.columns
+    p = write(f"{scratch}/dirt.csv", HEADER, ROWS)
+    flagged = [r["_corrupt_record"] for r in rejected(read_raw_csv(spark, p, columns=COLS, infer_types=True)).collect()]
+    assert sorted(flagged) == sorted([ROWS[6], ROWS[7]])
 
 
 def test_first_existing(spark, scratch):
