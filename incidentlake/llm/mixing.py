@@ -70,11 +70,11 @@ def random_offset(source: Column, seed: str) -> Column:
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, budget: float = 1.5, max_repeat: int = 2, seed: str = SEED,
-        text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target``, ``copies`` (how often
+        text: str = "text", source: str = "source", doc_id: str = "doc_id", keep_text: bool = True) -> DataFrame:
+    """``docs`` (without the text unless ``keep_text``) with ``size``, ``source_size``, ``target``, ``copies`` (how often
     the mix takes the row) and ``taken`` (``copies`` times ``size``)."""
     spark = docs.sparkSession
-    names = [c for c in docs.columns if c.lower() not in _ADDED]
+    names = [c for c in docs.columns if c.lower() not in _ADDED and (keep_text or c != text)]
     sized = docs.select(
         *(F.col(f"`{c}`") for c in names), word_count(F.col(text)).alias("size"), F.col(source).alias("__source"),
         F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col(doc_id).cast("string"), F.lit("<null>")))).alias("__hash"),

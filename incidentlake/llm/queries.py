@@ -56,7 +56,7 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents", "doc_id", "source", "text")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
