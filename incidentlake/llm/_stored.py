@@ -6,11 +6,11 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from incidentlake.config import shared_scratch_dir
+from incidentlake.config import scratch_root
 
 
 def scratch_path(spark, what: str) -> str:
-    return f"{shared_scratch_dir(spark)}/incidentlake-llm/{what}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/llm/{what}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:

@@ -21,14 +21,15 @@ drops out.
 *Verify.* Candidates must pass the size bound, then the Hamming bound of a
 1024-bit parity sketch, then the exact comparison of their shingle sets.
 
-Two steps keep the work linear. Before the sketches, a fixed third of the hash
+Two steps keep the work down. Before the sketches, a fixed third of the hash
 space is counted: a document more than a quarter of whose shingles are found
 there and nowhere else cannot link (``possible``). And the members of a block
-are not paired with each other, but first with the block's smallest document;
-only members that this leaves in different components are compared further,
-those outside the block's largest component with all others. So thousands of
-near copies cost thousands of comparisons, and no link between components is
-lost. Equal sets are one node throughout.
+are not paired with each other at once: they meet the block's smallest document,
+then one drawn by hash for each block. Thousands of near copies cost thousands
+of comparisons so far. Only members that this leaves in different components
+are compared with each other, by size and sketch and within tasks, and pairs
+that pass come out to be verified. No link between components is lost. Equal
+sets are one node throughout.
 
 Defined results: null and empty texts, and texts without words, have no shingles
 and link with nothing; fewer than five words are one shingle; a null id links by
@@ -57,6 +58,8 @@ BAND_RATIO = 8
 SKETCH_BITS = 1024
 COUNTED_SHARE = 0.32  # of the hash space, in the first step
 BROADCAST_IDS = 500_000
+PIECE_ROWS = 512
+TASK_ROWS = 20_000
 
 _U = np.uint64
 
@@ -230,6 +233,63 @@ def _candidates(texts: DataFrame, width: int, threshold: tuple[int, int]) -> Dat
     return held.where(F.size("held") > spare).select("doc_id", F.explode(F.slice("held", F.lit(1), F.size("held") - spare)).alias("x")).select("doc_id", "x.key")
 
 
+def _open_blocks(held: DataFrame, part: DataFrame) -> DataFrame:
+    """``key``, ``doc_id``, ``component`` of the blocks whose members are in
+    several components."""
+    placed = held.join(part, held["doc_id"] == part["id"], "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).where("low <> high")
+    return stored(placed.join(several.select("key", "members"), "key"), "open-blocks")
+
+
+def _compare_members(threshold: tuple[int, int], id_type: pa.DataType):
+    num, den = threshold
+    schema = pa.schema([("a", id_type), ("b", id_type)])
+
+    def run(table: pa.Table) -> pa.Table:
+        order = np.lexsort((table.column("side").to_numpy(), table.column("j").to_numpy(), table.column("i").to_numpy(), table.column("key").to_numpy()))
+        table = table.take(pa.array(order))
+        key, i, j, side, n = (table.column(c).to_numpy() for c in ("key", "i", "j", "side", "n"))
+        ids = table.column("doc_id").combine_chunks()
+        label = pa.array(table.column("component").combine_chunks()).dictionary_encode().indices.to_numpy()
+        sketch = table.column("sketch").combine_chunks().flatten().to_numpy().astype(np.int64).view(_U).reshape(len(n), -1)
+        cut = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+        left, right = [], []
+        for start, end in zip(cut.tolist(), [*cut[1:].tolist(), len(n)], strict=True):
+            middle = start + int(np.searchsorted(side[start:end], 1))
+            within = i[start] == j[start]
+            others = np.arange(start if within else middle, end)
+            for x in range(start, end if within else middle):
+                y = others[others > x] if within else others
+                y = y[(label[y] != label[x]) & (np.minimum(n[x], n[y]) * den >= np.maximum(n[x], n[y]) * num)]
+                apart = np.bitwise_count(sketch[y] ^ sketch[x]).sum(axis=1, dtype=np.int64)
+                y = y[apart * (num + den) <= (n[x] + n[y]) * (den - num)]
+                left += [x] * len(y)
+                right += y.tolist()
+        found = [ids.take(pa.array(c, pa.int64())) for c in (left, right)]
+        return pa.Table.from_arrays(found, schema=schema)
+
+    return run
+
+
+def _pairs_within(rows: DataFrame, facts: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (``a``, ``b``) of members of one block in different components that
+    pass the size bound and the Hamming bound. A block's members are cut into
+    pieces of ``PIECE_ROWS``; two pieces are compared in one place, and many
+    such places are dealt to a task, so that neither memory nor rows grow with
+    the square of a group."""
+    pieces = F.ceil(F.col("members") / PIECE_ROWS).cast("int")
+    full = rows.join(facts, "doc_id").withColumns({"pieces": pieces, "piece": F.pmod(F.xxhash64("doc_id"), pieces).cast("int")})
+    every = F.sequence(F.lit(0), F.col("pieces") - 1)
+    place = F.transform(every, lambda k: F.struct(F.least(k, F.col("piece")).alias("i"), F.greatest(k, F.col("piece")).alias("j"), (F.col("piece") > k).cast("int").alias("side")))
+    dealt = full.select("key", "doc_id", "component", "n", "sketch", F.explode(place).alias("p")).select("key", "doc_id", "component", "n", "sketch", "p.*")
+    tasks = rows.agg(F.greatest(F.ceil(F.sum(F.ceil(F.col("members") / PIECE_ROWS)) / TASK_ROWS), F.lit(1))).first()[0] or 1
+    task = F.pmod(F.xxhash64("key", "i", "j"), F.lit(int(tasks)))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    id_type = rows.select("doc_id").limit(0).toArrow().schema.field(0).type
+    pairs = dealt.withColumn("task", task).groupBy("task").applyInArrow(_compare_members(threshold, id_type), f"a {kind}, b {kind}")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def linked_sets(docs: DataFrame, sets: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
     """Components (``id``, ``component``) of the sets' smallest documents."""
     chosen = stored(possible(docs, sets, width, threshold), "possible")
@@ -239,24 +299,23 @@ def linked_sets(docs: DataFrame, sets: DataFrame, width: int, threshold: tuple[i
     facts = stored(_map_documents(texts, [("n", T.LongType(), pa.int64()), ("sketch", *_LONGS)], _sketch, width), "sketches")
     held = stored(_candidates(texts, width, threshold), "blocks")
 
+    # every member with its block's smallest document, then with one drawn by hash
+    # for each block: thousands of near copies meet dozens of them
     first = held.groupBy("key").agg(F.min("doc_id").alias("a"))
     star = held.withColumnRenamed("doc_id", "b").join(first, "key").where("a <> b").select("a", "b").distinct()
     links = stored(_linked(star, facts, texts, width, threshold), "links")
     part = connected_components(links)
 
-    # blocks whose members are still in several components
-    placed = held.join(part, held["doc_id"] == part["id"], "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    open_rows = stored(placed.join(mixed, "key"), "open-blocks")
-    outside = open_rows.where("component <> main").select("key", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
-    everyone = open_rows.select("key", F.col("doc_id").alias("y"), F.col("component").alias("cy"))
-    cross = outside.join(everyone, "key").where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    cross = cross.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = stored(_linked(cross, facts, texts, width, threshold), "more-links")
-    if more.isEmpty():
-        return part
-    return connected_components(links.unionByName(more))
+    rows = _open_blocks(held, part)
+    drawn = rows.groupBy("key").agg(F.min_by(F.struct(F.col("doc_id").alias("x"), F.col("component").alias("cx")), F.xxhash64("key", "doc_id")).alias("c")).select("key", "c.*")
+    star = rows.join(drawn, "key").where("component <> cx").select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")).distinct()
+    links = stored(links.unionByName(_linked(star, facts, texts, width, threshold)), "links")
+    part = connected_components(links)
+
+    # what is still apart: all pairs of a block, compared by sketch within tasks
+    rows = _open_blocks(held, part)
+    apart = _pairs_within(rows, facts, threshold).distinct()
+    return connected_components(links.unionByName(_linked(apart, facts, texts, width, threshold)))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:

@@ -152,6 +152,24 @@ def test_ngram_join_on_near_copies_and_shared_passages(spark):
     assert got == want
 
 
+def test_ngram_join_in_a_group_of_borderline_copies(spark, monkeypatch):
+    """Copies of one text with one to nine changes: many pairs just below the
+    threshold, links in chains, several components in one block."""
+    monkeypatch.setattr(ngram_join, "PIECE_ROWS", 7)
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(100)]
+    texts = {}
+    for k in range(90):
+        words = list(base)
+        for _ in range(rng.randint(1, 9)):
+            words[rng.randrange(100)] = f"n{rng.randrange(10**9)}"
+        texts[k] = " ".join(words)
+    want = brute.jaccard_groups(texts)
+    assert 5 < len({g for _, g in want.values()}) < 85
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs).collect()} == want
+
+
 def test_sketch_bounds_symmetric_difference():
     rng = np.random.default_rng(6)
     for _ in range(200):
