@@ -9,8 +9,10 @@ rerun and every machine. A document's variant is a keyed hash of its id. With a
 rate of 0 the result is the model's own encoding.
 
 No piece goes on after a space mark that follows other characters, so a word
-with the spaces before it is segmented by itself, and segmentations are kept in
-a bounded dictionary per task and variant. Characters outside the vocabulary
+with the spaces before it is segmented by itself. Nor can a merge join two
+characters that are neighbours in no piece of the model (a letter and a comma,
+mostly), so words are cut there too, and the parts' segmentations are kept in a
+bounded dictionary per Python worker and variant. Characters outside the vocabulary
 become byte pieces. Decoding joins the pieces' bytes and drops the one leading
 space that encoding put in front; it gives back every text exactly. A literal
 space mark (U+2581) in a text is encoded as its three bytes, since it could not
@@ -41,10 +43,9 @@ from incidentlake.llm._ship import ship
 DROPOUT = 0.1
 VARIANTS = 4
 SEED = "dropout-1"
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 80_000  # a generation; there are two of them per variant
 BATCH_PIECES = 1 << 20
 SPACE_MARK = "▁"
-_MASK = (1 << 64) - 1
 
 
 class PieceModel:
@@ -75,8 +76,14 @@ class PieceModel:
             self.rank[piece] = (level, i)
         if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.rank):
             raise ValueError("a piece spans words; texts cannot be cut at spaces")
+        self.neighbours = {a + b for piece in self.rank for a, b in zip(piece, piece[1:], strict=False)}
         self.mark_bytes = array("i", [self.byte_id[b] for b in SPACE_MARK.encode()]).tobytes()
 
+    def parts(self, word: str) -> list[str]:
+        """``word`` cut between characters that no merge can join."""
+        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.neighbours]
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
+
     def segment(self, word: str, drop_below: int = 0, key: bytes = b"") -> bytes:
         """Piece ids of one word (space marks included), as 32-bit integers."""
         rank = self.rank
@@ -88,7 +95,7 @@ class PieceModel:
             if found:
                 agenda.append((found[0], i, len(symbol[i]) + len(symbol[i + 1]), found[1]))
         if agenda:
-            seed = int.from_bytes(blake2b(word.encode("utf-8"), key=key, digest_size=8).digest(), "little") if drop_below else 0
+            draws: dict[int, bytes] = {}  # 16 keyed bits for each of 8 places and 4 kinds of piece
             heapify(agenda)
             after, before = list(range(1, n + 1)), list(range(-1, n - 1))
             while agenda:
@@ -98,9 +105,11 @@ class PieceModel:
                 if a is None or j >= n or len(a) + len(symbol[j]) != size:
                     continue  # one of the two was merged meanwhile
                 if drop_below:
-                    x = (seed ^ (i * 0x9E3779B97F4A7C15) ^ (piece * 0xC2B2AE3D27D4EB4F)) & _MASK
-                    x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & _MASK
-                    if ((x ^ (x >> 32)) & 0xFFFFFFFF) < drop_below:
+                    drawn = draws.get(i >> 3)
+                    if drawn is None:
+                        drawn = draws[i >> 3] = blake2b(f"{i >> 3}|{word}".encode(), key=key).digest()
+                    k = (i & 7) << 3 | (piece & 3) << 1
+                    if drawn[k] << 8 | drawn[k + 1] < drop_below:
                         continue
                 a = symbol[i] = a + symbol[j]
                 symbol[j] = None
@@ -128,20 +137,37 @@ class PieceModel:
 
 
 class WordCache(dict):
-    """Segmentations by word, without its one leading space mark."""
+    """Segmentations by word, without its one leading space mark. When a
+    generation is full it becomes the old one, from which words in use return."""
 
     def __init__(self, model: PieceModel, rate: float, key: bytes, limit: int):
         super().__init__()
         self.model, self.key, self.limit = model, key, limit
-        self.drop_below = round(rate * 2**32)
+        self.drop_below = round(rate * 2**16)
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.model.segment(SPACE_MARK + word, self.drop_below, self.key)
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.segment(SPACE_MARK + word)
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
         self[word] = ids
         return ids
 
+    def segment(self, unit: str) -> bytes:
+        """Segmentation part by part; the word in front comes from the cache."""
+        if unit[1:].isalpha():
+            return self.model.segment(unit, self.drop_below, self.key)
+        first, *rest = self.model.parts(unit)
+        if rest and first[0] == SPACE_MARK and first[1:].isalpha():
+            out = [self[first[1:]]]
+        else:
+            out = [self.model.segment(first, self.drop_below, self.key)]
+        out += [self.model.segment(x, self.drop_below, self.key) for x in rest]
+        return b"".join(out)
+
 
 class Encoder:
     _units = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}]*|[^{SPACE_MARK}]+")
@@ -171,7 +197,7 @@ class Encoder:
                 if unit[0] == SPACE_MARK:
                     out.append(cache[unit[1:]])
                 else:
-                    out.append(self.model.segment(unit, cache.drop_below, cache.key))
+                    out.append(cache.segment(unit))
             lead = ""
         return b"".join(out)
 
@@ -179,6 +205,18 @@ class Encoder:
         return b"".join(map(self.model.output.__getitem__, ids))[1:].decode("utf-8") if ids else ""
 
 
+_encoders: dict[tuple, Encoder] = {}
+
+
+def _encoder(path: str, rate: float, seed: str, variants: int) -> Encoder:
+    """The encoder of this Python worker: its dictionaries serve all its tasks."""
+    key = (path, rate, seed, variants)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(path, rate, seed, variants)
+    return _encoders[key]
+
+
 def _lists(parts: list[bytes | None]) -> pa.Array:
     """An Arrow list column from rows of 32-bit integers; None is null."""
     sizes = [0 if p is None else len(p) // 4 for p in parts]
@@ -196,7 +234,7 @@ def encode(docs: DataFrame, model: str, rate: float = DROPOUT, seed: str = SEED,
     rows = docs.select(*(F.col(f"`{c}`") for c in names), F.col(f"`{text}`").alias("__text"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("__key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model, rate, seed, variants)
+        encoder = _encoder(model, rate, seed, variants)
         for batch in batches:
             start, parts, size = 0, [], 0
             keys, texts = batch.column("__key"), batch.column("__text")
