@@ -3,8 +3,8 @@
 A text is cut into pre-tokens by the vocabulary's pattern; each pre-token is a
 linked list of byte symbols, and a heap yields the adjacent pair of lowest rank
 until none is left. The count is the initial symbols minus the merges made.
-Counts of space-delimited pieces are kept in a bounded dictionary per task,
-since a space followed by a non-space always begins a new pre-token.
+Counts of space-delimited pieces are kept in a bounded dictionary per Python
+worker, since a space followed by a non-space always begins a new pre-token.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; the special
 strings of the vocabulary file inside a text count as one token each (the
@@ -134,6 +134,17 @@ class PairCounter(dict):
         return sum(map(self.merge, self.find(head))) + sum(map(self.__getitem__, rest))
 
 
+_counters: dict[str, PairCounter] = {}
+
+
+def _counter(path: str) -> PairCounter:
+    """The counter of this Python worker: its dictionary serves all its tasks."""
+    if path not in _counters:
+        _counters.clear()
+        _counters[path] = PairCounter(path)
+    return _counters[path]
+
+
 def token_counts(docs: DataFrame, vocabulary: str, text: str = "text", limit: int = 1024) -> DataFrame:
     """``docs`` without the text, with ``n_bytes``, ``n_tokens`` and
     ``over_limit``. ``vocabulary`` is the path of a byte-level BPE file in the
@@ -143,7 +154,7 @@ def token_counts(docs: DataFrame, vocabulary: str, text: str = "text", limit: in
     names = [c for c in docs.columns if c != text and c.lower() not in new]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PairCounter(vocabulary)
+        counter = _counter(vocabulary)
         for batch in batches:
             counts = [counter.count(x.as_py() or "") for x in batch.column("__text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(counts, pa.int64())], names=[*names, "n_tokens"])
