@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from incidentlake.schemas import CORRUPT_RECORD
+from incidentlake.operators.bronze import accepted, rejected
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -34,16 +33,12 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Bronze rows that parsed cleanly (rejected lines are stored alongside)."""
-    df = read_layer(spark, path)
-    if CORRUPT_RECORD in df.columns:
-        df = df.where(F.col(CORRUPT_RECORD).isNull()).drop(CORRUPT_RECORD)
-    return df
+    return accepted(read_layer(spark, path))
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Bronze lines that did not parse, with their original text."""
-    df = read_layer(spark, path)
-    return df.where(F.col(CORRUPT_RECORD).isNotNull())
+    return rejected(read_layer(spark, path))
 
 
 def register_layers(spark: SparkSession, cfg) -> list[str]:

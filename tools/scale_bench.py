@@ -84,7 +84,7 @@ def main() -> None:
     out["duckdb_bronze_s"] = round(time.perf_counter() - t, 2)
     t = time.perf_counter()
     con.execute(
-        f"COPY (SELECT {oracle.silver_select()}, _ingested_at, current_timestamp AS _processed_at "
+        f"COPY (SELECT {oracle.TYPED}, {oracle.MASKED}, {oracle.NORMALISED}, _ingested_at, current_timestamp AS _processed_at "
         f"FROM '{d}/bronze.parquet' WHERE {oracle.QUALITY_WHERE}) TO '{d}/silver.parquet' "
         "(FORMAT parquet, COMPRESSION snappy, ROW_GROUP_SIZE 100000)"
     )
