@@ -43,8 +43,8 @@ from incidentlake.llm._ship import ship
 DROPOUT = 0.1
 VARIANTS = 4
 SEED = "dropout-1"
-CACHE_ENTRIES = 80_000  # a generation; there are two of them per variant
-BATCH_PIECES = 1 << 20
+CACHE_ENTRIES = 40_000  # a generation; there are two of them per variant
+BATCH_PIECES = 1 << 19
 SPACE_MARK = "▁"
 
 
@@ -226,29 +226,36 @@ def _lists(parts: list[bytes | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values, mask=mask)
 
 
-def encode(docs: DataFrame, model: str, rate: float = DROPOUT, seed: str = SEED, variants: int = VARIANTS, text: str = "text", key: str = "doc_id", keep_text: bool = False) -> DataFrame:
+def encode(docs: DataFrame, model: str, rate: float = DROPOUT, seed: str = SEED, variants: int = VARIANTS, text: str = "text", key: str = "doc_id", keep_text: bool = False, check: bool = False) -> DataFrame:
     """``docs`` with ``pieces`` (ids). ``model`` is the path of a SentencePiece
-    BPE model, present on every executor. The text goes unless ``keep_text``."""
+    BPE model, present on every executor. The text goes unless ``keep_text``.
+    ``check`` decodes the pieces again and adds ``lossless``: whether they give
+    the text back (null for a null text)."""
     ship(docs.sparkSession)
-    names = [c for c in docs.columns if c.lower() != "pieces" and (keep_text or c != text)]
+    new = ("pieces", "lossless") if check else ("pieces",)
+    names = [c for c in docs.columns if c.lower() not in new and (keep_text or c != text)]
     rows = docs.select(*(F.col(f"`{c}`") for c in names), F.col(f"`{text}`").alias("__text"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("__key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model, rate, seed, variants)
         for batch in batches:
-            start, parts, size = 0, [], 0
+            start, parts, same, size = 0, [], [], 0
             keys, texts = batch.column("__key"), batch.column("__text")
             for i in range(len(batch)):
                 t = texts[i].as_py()
-                parts.append(None if t is None else encoder.encode(t, keys[i].as_py()))
-                size += len(parts[-1] or b"") // 4
+                ids = None if t is None else encoder.encode(t, keys[i].as_py())
+                parts.append(ids)
+                size += len(ids or b"") // 4
+                if check:
+                    same.append(None if t is None else encoder.decode(np.frombuffer(ids, np.int32).tolist()) == t)
                 if size >= BATCH_PIECES or i == len(batch) - 1:
                     done = batch.slice(start, len(parts))
-                    yield pa.RecordBatch.from_arrays([*(done.column(x) for x in names), _lists(parts)], names=[*names, "pieces"])
-                    start, parts, size = i + 1, [], 0
+                    made = [_lists(parts), pa.array(same, pa.bool_())][: len(new)]
+                    yield pa.RecordBatch.from_arrays([*(done.column(x) for x in names), *made], names=[*names, *new])
+                    start, parts, same, size = i + 1, [], [], 0
 
-    schema = T.StructType([*(f for f in rows.schema if f.name in names), T.StructField("pieces", T.ArrayType(T.IntegerType()))])
-    return rows.mapInArrow(run, schema)
+    added = [T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("lossless", T.BooleanType())][: len(new)]
+    return rows.mapInArrow(run, T.StructType([*(f for f in rows.schema if f.name in names), *added]))
 
 
 def decode(encoded: DataFrame, model: str, pieces: str = "pieces", text: str = "text") -> DataFrame:
@@ -271,9 +278,7 @@ def decode(encoded: DataFrame, model: str, pieces: str = "pieces", text: str = "
     return encoded.select(*(F.col(f"`{c}`") for c in names)).mapInArrow(run, schema)
 
 
-def encode_and_check(docs: DataFrame, model: str, text: str = "text", **options) -> DataFrame:
-    """Encoded rows with ``n_pieces`` and ``lossless``: whether decoding the
-    pieces gives the text back (null for a null text)."""
-    coded = encode(docs.withColumn("__whole", F.col(f"`{text}`")), model, text=text, **options)
-    back = decode(coded, model, text="__back")
-    return back.withColumns({"n_pieces": F.coalesce(F.size("pieces"), F.lit(0)).cast("long"), "lossless": F.col("__back") == F.col("__whole")}).drop("__back", "__whole")
+def encode_and_check(docs: DataFrame, model: str, **options) -> DataFrame:
+    """``docs`` without the text, with ``pieces``, ``lossless`` and ``n_pieces``."""
+    coded = encode(docs.drop("n_pieces"), model, check=True, **options)
+    return coded.withColumn("n_pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long"))
