@@ -37,9 +37,9 @@ from incidentlake.llm._stored import stored
 from incidentlake.llm.components import connected_components
 
 THRESHOLD = 0.95
-ROWS_PER_PIVOT = 2048
+ROWS_PER_PIVOT = 8192
 MAX_PIVOTS = 256
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 8192
 _SLACK = 1e-9  # of rounding, in the replication test
 
 
