@@ -1,4 +1,4 @@
-"""Makes the package importable in the Python workers of the cluster."""
+"""Readies a session for the operators that run Python in its tasks."""
 
 from __future__ import annotations
 
@@ -10,10 +10,18 @@ from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
 
+# Rows per Arrow batch. Spark's default suits narrow rows; ten thousand texts at
+# once, in and out, would be hundreds of megabytes outside the heap.
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_DEFAULT_ROWS, _TEXT_ROWS = "10000", "1000"
+
 
 def ship(spark: SparkSession) -> None:
     """Add the package's source as a zip to the application, once. Spark hands
-    the file to every executor, also to those that join later."""
+    the file to every executor, also to those that join later. Where the session
+    has the default number of rows per Arrow batch, it is set to 1 000."""
+    if spark.conf.get(_BATCH_ROWS, _DEFAULT_ROWS) == _DEFAULT_ROWS:
+        spark.conf.set(_BATCH_ROWS, _TEXT_ROWS)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
