@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from incidentlake.llm import embedding_join, license_scan, secret_scan, sql
 from incidentlake.llm._stored import scratch_path
 from incidentlake.llm.language_id import identify
-from incidentlake.llm.line_dedup import drop_repeated_lines
+from incidentlake.llm.line_dedup import PASSAGE_WORDS, drop_repeated_lines
 from incidentlake.llm.mixing import mix
 from incidentlake.llm.ngram_join import near_duplicates
 from incidentlake.llm.piece_codec import encode_and_check
@@ -64,7 +64,7 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_repeated_lines(_read(spark, sf_dir, "documents", "doc_id", "text"))
+    return drop_repeated_lines(_read(spark, sf_dir, "documents", "doc_id", "text"), min_words=PASSAGE_WORDS)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

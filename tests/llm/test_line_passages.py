@@ -1,0 +1,87 @@
+"""Repeated passages of ``min_words`` words against brute force."""
+
+import random
+
+from incidentlake.llm.line_dedup import drop_repeated_lines
+
+from tests.llm import brute
+
+SCHEMA = "doc_id bigint, text string"
+
+
+def worded(text):
+    return [(i, x, len(brute.WORD.findall(x))) for i, x in enumerate(text.split("\n")) if brute.WORD.search(x)]
+
+
+def repeated_lines(texts, min_words):
+    """Lines with words, by id, that stand in a run of ``min_words`` words which
+    occurs earlier: all runs of all texts are listed."""
+    runs = []
+    for i, text in texts.items():
+        lines = worded(text)
+        for a in range(len(lines)):
+            for b in range(a, len(lines)):
+                if sum(n for _, _, n in lines[a : b + 1]) >= min_words:
+                    runs.append((tuple(x for _, x, _ in lines[a : b + 1]), i, [k for k, _, _ in lines[a : b + 1]]))
+    first = {}
+    for body, i, at in runs:
+        first[body] = min(first.get(body, (i, at[0])), (i, at[0]))
+    out = {i: set() for i in texts}
+    for body, i, at in runs:
+        if first[body] < (i, at[0]):
+            out[i] |= set(at)
+    return out
+
+
+def test_passages_go_whole(spark):
+    """Two to six lines, over 50 words, between lines of each document's own."""
+    rng = random.Random(21)
+    line = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    texts, passages = {}, {}
+    for g in range(30):
+        n = 1 + g % 6
+        passage = "\n".join(line(60 // n + 1) for _ in range(n))
+        for _ in range(2):
+            own = [line(8) for _ in range(7)]
+            k = rng.randint(0, 7)
+            texts[len(texts)] = "\n".join([*own[:k], passage, *own[k:]])
+            passages[len(texts) - 1] = (own, passage)
+    docs = spark.createDataFrame(list(texts.items()), SCHEMA).repartition(3)
+    got = {r.doc_id: r for r in drop_repeated_lines(docs, min_words=50).collect()}
+    for i, (own, passage) in passages.items():
+        if i % 2:
+            assert got[i].text == "\n".join(own) and got[i].n_removed_lines == passage.count("\n") + 1
+        else:
+            assert got[i].text == texts[i] and got[i].n_removed_lines == 0
+
+
+def test_passages_against_all_runs(spark):
+    """With chunks so long that windows alone decide. Few different lines, so
+    that runs overlap, meet and repeat within a text; lines without words."""
+    rng = random.Random(22)
+    pool = [" ".join(f"p{k}" for _ in range(rng.choice([1, 2, 5, 9, 14]))) for k in range(14)] + ["", " \t"]
+    texts = {i: "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 14))) for i in range(60)}
+    for i in range(60, 120):
+        base = texts[rng.randrange(60)].split("\n")
+        k = rng.randrange(len(base))
+        texts[i] = "\n".join([rng.choice(pool), *base[k : k + 9], rng.choice(pool), *base[:3]])
+    want = repeated_lines(texts, 20)
+    docs = spark.createDataFrame(list(texts.items()), SCHEMA).repartition(4)
+    got = {r.doc_id: r for r in drop_repeated_lines(docs, mean_lines=1 << 40, min_words=20).collect()}
+    assert sum(map(len, want.values())) > 100
+    whole = set()  # one chunk per text: copies of a text go whole
+    for i, text in texts.items():
+        copy = text in whole and len(worded(text)) >= 2
+        whole.add(text)
+        left = [] if copy else [x for k, x, _ in worded(text) if k not in want[i]]
+        assert [x for _, x, _ in worded(got[i].text)] == left, i
+
+
+def test_query_removes_passages(spark, scratch):
+    from incidentlake.llm import queries
+
+    passage = "one " * 30 + "\n" + "two " * 30
+    rows = [(1, f"a\n{passage}\nb"), (2, f"c\n{passage}\nd"), (3, None), (4, "")]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{scratch}/documents.parquet")
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed_lines) for r in queries.op9_line_dedup(spark, scratch).collect()}
+    assert got == {1: (rows[0][1], 4, 0), 2: ("c\nd", 4, 2), 3: (None, 0, 0), 4: ("", 1, 0)}
