@@ -2,49 +2,56 @@
 
 The model's BPE pieces are merged by an agenda: the adjacent pair whose joined
 piece scores highest (leftmost among equals) is merged first. With dropout, each
-candidate taken from the agenda is skipped if a keyed hash of (seed, variant,
-word, place, piece) falls below the dropout rate, so the same text gets different
-segmentations under different seeds and variants, and the same one on every
-rerun and every machine. A document's variant is a keyed hash of its id. With a
+candidate taken from the agenda is skipped if its own draw falls below the dropout
+rate. The draw is a keyed hash of (seed, document id, copy, place of the word,
+number of the candidate), so every occurrence is segmented anew, repeated rows too
+if they are numbered, and all is the same on every rerun and every machine. With a
 rate of 0 the result is the model's own encoding.
 
 No piece goes on after a space mark that follows other characters, so a word
 with the spaces before it is segmented by itself. Nor can a merge join two
 characters that are neighbours in no piece of the model (a letter and a comma,
-mostly), so words are cut there too, and the parts' segmentations are kept in a
-bounded dictionary per Python worker and variant. Characters outside the vocabulary
-become byte pieces. Decoding joins the pieces' bytes and drops the one leading
-space that encoding put in front; it gives back every text exactly. A literal
-space mark (U+2581) in a text is encoded as its three bytes, since it could not
-be told from a space otherwise.
+mostly), so words are cut there too. What is kept, in a bounded tree per Python
+worker, does not depend on the draws: a part's segmentation for each set of
+skipped candidates met so far, and how many candidates it takes from the agenda.
+Draws are made for many words at once; an occurrence follows its skips down the
+tree. Characters outside the vocabulary become byte pieces. Decoding joins the
+pieces' bytes and drops the one leading space that encoding put in front; it
+gives back every text exactly. A literal space mark (U+2581) in a text is encoded
+as its three bytes, since it could not be told from a space otherwise.
 
 Defined results: null text has null pieces and decodes to null; the empty text
 has none and decodes to the empty text; a null id counts as the empty string;
-repeated rows give repeated results; extra columns are kept, clashing ones
-replaced.
+repeated rows give repeated results unless ``copy`` numbers them; extra columns
+are kept, clashing ones replaced.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from hashlib import blake2b
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from incidentlake.llm._ship import ship
+from incidentlake.llm._text import mix
 
 DROPOUT = 0.1
-VARIANTS = 4
 SEED = "dropout-1"
-CACHE_ENTRIES = 40_000  # a generation; there are two of them per variant
-BATCH_PIECES = 1 << 19
+CACHE_ENTRIES = 250_000  # segmentations kept by a worker; beyond that it starts anew
+SLICE_WORDS = 1 << 14  # words whose draws are made at once
+SHORT = 40  # characters that are merged by a list instead of a heap
+LONG = 48  # candidates; parts with more are segmented anew each time
+BATCH_CHARS = 1 << 20
 SPACE_MARK = "▁"
 
 
@@ -74,6 +81,7 @@ class PieceModel:
             if score != last:
                 level, last = level + 1, score
             self.rank[piece] = (level, i)
+        self.level = {piece: rank for piece, (rank, _) in self.rank.items()}
         if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.rank):
             raise ValueError("a piece spans words; texts cannot be cut at spaces")
         self.neighbours = {a + b for piece in self.rank for a, b in zip(piece, piece[1:], strict=False)}
@@ -84,33 +92,62 @@ class PieceModel:
         cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.neighbours]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
 
-    def segment(self, word: str, drop_below: int = 0, key: bytes = b"") -> bytes:
-        """Piece ids of one word (space marks included), as 32-bit integers."""
+    def segment(self, word: str, skipped: Container[int] = ()) -> tuple[bytes, int]:
+        """Piece ids of one word (space marks included), as 32-bit integers, if
+        the candidates with the numbers ``skipped`` are; and how many were taken."""
+        symbols, taken = self._merge_short(word, skipped) if len(word) <= SHORT else self._merge_long(word, skipped)
+        ids = array("i")
+        for s in symbols:
+            found = self.rank.get(s)
+            if found:
+                ids.append(found[1])
+            else:
+                ids.extend([self.byte_id[b] for b in s.encode("utf-8")])
+        return ids.tobytes(), taken
+
+    def _merge_short(self, word: str, skipped: Container[int]) -> tuple[list[str], int]:
+        """The agenda as a list of the neighbours' ranks: quicker for few."""
+        rank, none = self.level.get, len(self.level)
+        symbol, taken = list(word), 0
+        open_ = [rank(word[i : i + 2], none) for i in range(len(word) - 1)]
+        while open_:
+            best = min(open_)
+            if best == none:
+                break
+            i = open_.index(best)
+            taken += 1
+            if taken - 1 in skipped:
+                open_[i] = none
+                continue
+            a = symbol[i] = symbol[i] + symbol.pop(i + 1)
+            del open_[i]
+            if i < len(open_):
+                open_[i] = rank(a + symbol[i + 1], none)
+            if i:
+                open_[i - 1] = rank(symbol[i - 1] + a, none)
+        return symbol, taken
+
+    def _merge_long(self, word: str, skipped: Container[int]) -> tuple[list[str], int]:
         rank = self.rank
         symbol: list[str | None] = list(word)
-        n = len(symbol)
+        n, taken = len(symbol), 0
         agenda = []
         for i in range(n - 1):
             found = rank.get(symbol[i] + symbol[i + 1])
             if found:
                 agenda.append((found[0], i, len(symbol[i]) + len(symbol[i + 1]), found[1]))
         if agenda:
-            draws: dict[int, bytes] = {}  # 16 keyed bits for each of 8 places and 4 kinds of piece
             heapify(agenda)
             after, before = list(range(1, n + 1)), list(range(-1, n - 1))
             while agenda:
-                _, i, size, piece = heappop(agenda)
+                _, i, size, _ = heappop(agenda)
                 a = symbol[i]
                 j = after[i]
                 if a is None or j >= n or len(a) + len(symbol[j]) != size:
                     continue  # one of the two was merged meanwhile
-                if drop_below:
-                    drawn = draws.get(i >> 3)
-                    if drawn is None:
-                        drawn = draws[i >> 3] = blake2b(f"{i >> 3}|{word}".encode(), key=key).digest()
-                    k = (i & 7) << 3 | (piece & 3) << 1
-                    if drawn[k] << 8 | drawn[k + 1] < drop_below:
-                        continue
+                taken += 1
+                if taken - 1 in skipped:
+                    continue
                 a = symbol[i] = a + symbol[j]
                 symbol[j] = None
                 k = after[i] = after[j]
@@ -124,82 +161,167 @@ class PieceModel:
                     found = rank.get(symbol[h] + a)
                     if found:
                         heappush(agenda, (found[0], h, size + len(symbol[h]), found[1]))
-        ids = array("i")
-        for s in symbol:
-            if s is None:
-                continue
-            found = rank.get(s)
-            if found:
-                ids.append(found[1])
-            else:
-                ids.extend([self.byte_id[b] for b in s.encode("utf-8")])
-        return ids.tobytes()
-
-
-class WordCache(dict):
-    """Segmentations by word, without its one leading space mark. When a
-    generation is full it becomes the old one, from which words in use return."""
-
-    def __init__(self, model: PieceModel, rate: float, key: bytes, limit: int):
-        super().__init__()
-        self.model, self.key, self.limit = model, key, limit
-        self.drop_below = round(rate * 2**16)
-        self.old: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.segment(SPACE_MARK + word)
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[word] = ids
-        return ids
-
-    def segment(self, unit: str) -> bytes:
-        """Segmentation part by part; the word in front comes from the cache."""
-        if unit[1:].isalpha():
-            return self.model.segment(unit, self.drop_below, self.key)
-        first, *rest = self.model.parts(unit)
-        if rest and first[0] == SPACE_MARK and first[1:].isalpha():
-            out = [self[first[1:]]]
-        else:
-            out = [self.model.segment(first, self.drop_below, self.key)]
-        out += [self.model.segment(x, self.drop_below, self.key) for x in rest]
-        return b"".join(out)
+        return [s for s in symbol if s is not None], taken
+
+
+_U = np.uint64
+_PLACE, _CANDIDATE = _U(0x9E3779B97F4A7C15), _U(0xD1342543DE82EF95)
+
+
+def draws(keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """32-bit draws of the candidates with these numbers, each of an occurrence
+    with its key."""
+    return mix(keys + (numbers.astype(_U) + _U(1)) * _CANDIDATE) >> _U(32)
+
+
+class Segmentations:
+    """Tree of the segmentations of parts of words. A root skips nothing; a child
+    skips one more candidate, later than all that its parent skips."""
+
+    def __init__(self, model: PieceModel, limit: int):
+        self.model, self.limit = model, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.roots: dict[str, int] = {}
+        self.words: dict[str | tuple[str], tuple[int, ...]] = {}
+        self.children: dict[int, int] = {}
+        self.part: list[str] = [SPACE_MARK]  # the node 0 is the literal space mark
+        self.skips: list[tuple[int, ...]] = [()]
+        self.ids: list[bytes] = [self.model.mark_bytes]
+        self.left = array("i", [0])  # candidates taken after the last skip
+        self.chars = 0
+
+    def full(self) -> bool:
+        return len(self.ids) + len(self.words) > self.limit or self.chars > 32 * self.limit
+
+    def _add(self, part: str, skips: tuple[int, ...]) -> int:
+        ids, taken = self.model.segment(part, skips)
+        self.part.append(part)
+        self.skips.append(skips)
+        self.ids.append(ids)
+        self.left.append(taken - (skips[-1] + 1 if skips else 0))
+        return len(self.ids) - 1
+
+    def of_word(self, word: str | tuple[str]) -> tuple[int, ...]:
+        """Roots of the parts of a word without its one leading space mark, or of
+        a unit as it is, given as a tuple."""
+        found = self.words.get(word)
+        if found is None:
+            parts = self.model.parts(SPACE_MARK + word if isinstance(word, str) else word[0])
+            for part in parts:
+                if part not in self.roots:
+                    self.roots[part] = self._add(part, ())
+                    self.chars += len(part)
+            found = self.words[word] = tuple([self.roots[part] for part in parts])
+            self.chars += len(word) if isinstance(word, str) else len(word[0])
+        return found
+
+    def skip(self, node: int, number: int) -> int:
+        key = node << 32 | number
+        child = self.children.get(key)
+        if child is None:
+            child = self.children[key] = self._add(self.part[node], (*self.skips[node], number))
+        return child
+
+    def resolve(self, roots: np.ndarray, keys: np.ndarray, below: int) -> tuple[np.ndarray, dict[int, bytes]]:
+        """The node that each occurrence's draws lead to, and the ids of long
+        parts by their place in ``roots``."""
+        node, long = roots.copy(), {}
+        open_ = np.arange(len(roots)) if below else roots[:0]
+        after = np.zeros(len(open_), np.int64)
+        if below:
+            for k in np.flatnonzero(np.frombuffer(self.left, np.int32)[roots] > LONG).tolist():
+                part = self.part[roots[k]]  # less than three candidates a character
+                skipped = np.flatnonzero(draws(keys[k], np.arange(3 * len(part))) < below)
+                long[k] = self.model.segment(part, set(skipped.tolist()))[0]
+            if long:
+                open_ = np.setdiff1d(open_, np.fromiter(long, np.int64))
+                after = after[: len(open_)]
+        while len(open_):
+            left = np.frombuffer(self.left, np.int32)[node[open_]].astype(np.int64)
+            owner = np.repeat(np.arange(len(open_)), left)
+            number = np.arange(len(owner)) - (np.cumsum(left) - left - after)[owner]
+            hit = np.flatnonzero(draws(keys[open_][owner], number) < below)
+            which, at = np.unique(owner[hit], return_index=True)
+            open_, first = open_[which], number[hit[at]]
+            node[open_] = [self.skip(n, d) for n, d in zip(node[open_].tolist(), first.tolist(), strict=True)]
+            after = first + 1
+        return node, long
 
 
 class Encoder:
     _units = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}]*|[^{SPACE_MARK}]+")
 
-    def __init__(self, path: str, rate: float = DROPOUT, seed: str = SEED, variants: int = VARIANTS, limit: int = CACHE_ENTRIES):
-        self.model, self.seed = PieceModel(path), seed
-        keys = [blake2b(f"{seed}|{v}".encode(), digest_size=32).digest() for v in range(variants if rate else 1)]
-        self.caches = [WordCache(self.model, rate, k, limit) for k in keys]
+    def __init__(self, path: str, rate: float = DROPOUT, seed: str = SEED, limit: int = CACHE_ENTRIES):
+        self.model, self.seed = PieceModel(path), seed.encode("utf-8")[:64]
+        self.below = round(rate * 2**32)
+        self.kept = Segmentations(self.model, limit)
 
-    def variant(self, key: str) -> int:
-        digest = blake2b(key.encode("utf-8"), key=self.seed.encode("utf-8")[:64], digest_size=8).digest()
-        return int.from_bytes(digest, "little") % len(self.caches)
+    def document_key(self, key: str, copy: int = 0) -> np.uint64:
+        digest = blake2b(key.encode("utf-8"), key=self.seed, salt=copy.to_bytes(8, "little"), digest_size=8).digest()
+        return _U(int.from_bytes(digest, "little"))
 
-    def encode(self, text: str, key: str = "") -> bytes:
+    def words(self, text: str) -> list[str | tuple[str] | None]:
+        """What is segmented by itself; None is a literal space mark."""
         if not text:
-            return b""
-        cache = self.caches[self.variant(key)]
+            return []
         if SPACE_MARK not in text:
             words = text.split(" ")
             if "" not in words:
-                return b"".join(map(cache.__getitem__, words))
+                return words
         out, lead = [], SPACE_MARK
         for k, stretch in enumerate(text.split(SPACE_MARK)):
             if k:
-                out.append(self.model.mark_bytes)
+                out.append(None)
             for unit in self._units.findall(lead + stretch.replace(" ", SPACE_MARK)):
-                if unit[0] == SPACE_MARK:
-                    out.append(cache[unit[1:]])
-                else:
-                    out.append(cache.segment(unit))
+                out.append(unit[1:] if unit[0] == SPACE_MARK else (unit,))
             lead = ""
-        return b"".join(out)
+        return out
+
+    def encode_many(self, texts: list[str | None], keys: list[str], copies: list[int]) -> list[bytes | None]:
+        out: list = [None if t is None else [] for t in texts]
+        nodes: list[int] = []
+        runs: list[tuple] = []  # row, key, place of its first part, parts
+
+        def flush() -> None:
+            roots = np.array(nodes, np.int64)
+            seeds = np.repeat(np.array([r[1] for r in runs], _U), [r[3] for r in runs])
+            places = np.concatenate([np.arange(p, p + n) for _, _, p, n in runs]).astype(_U)
+            found, long = self.kept.resolve(roots, mix(seeds + (places + _U(1)) * _PLACE), self.below)
+            ids = list(map(self.kept.ids.__getitem__, found.tolist()))
+            for k, x in long.items():
+                ids[k] = x
+            at = 0
+            for row, _, _, n in runs:
+                out[row].append(b"".join(ids[at : at + n]))
+                at += n
+            nodes.clear()
+            runs.clear()
+            if self.kept.full():
+                self.kept.clear()
+
+        for row, text in enumerate(texts):
+            words, place, key = self.words(text or ""), 0, self.document_key(keys[row], copies[row])
+            for a in range(0, len(words), SLICE_WORDS):
+                known, before = self.kept.words, len(nodes)
+                part = words[a : a + SLICE_WORDS]
+                for w in set(part).difference(known):
+                    if w is None:
+                        known[w] = (0,)
+                    else:
+                        self.kept.of_word(w)
+                nodes.extend(chain.from_iterable(map(known.__getitem__, part)))
+                runs.append((row, key, place, len(nodes) - before))
+                place += len(nodes) - before
+                if len(nodes) >= SLICE_WORDS:
+                    flush()
+        if runs:
+            flush()
+        return [None if x is None else b"".join(x) for x in out]
+
+    def encode(self, text: str, key: str = "", copy: int = 0) -> bytes:
+        return self.encode_many([text], [key], [copy])[0]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.model.output.__getitem__, ids))[1:].decode("utf-8") if ids else ""
@@ -208,12 +330,12 @@ class Encoder:
 _encoders: dict[tuple, Encoder] = {}
 
 
-def _encoder(path: str, rate: float, seed: str, variants: int) -> Encoder:
+def _encoder(path: str, rate: float, seed: str) -> Encoder:
     """The encoder of this Python worker: its dictionaries serve all its tasks."""
-    key = (path, rate, seed, variants)
+    key = (path, rate, seed)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(path, rate, seed, variants)
+        _encoders[key] = Encoder(path, rate, seed)
     return _encoders[key]
 
 
@@ -226,33 +348,35 @@ def _lists(parts: list[bytes | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values, mask=mask)
 
 
-def encode(docs: DataFrame, model: str, rate: float = DROPOUT, seed: str = SEED, variants: int = VARIANTS, text: str = "text", key: str = "doc_id", keep_text: bool = False, check: bool = False) -> DataFrame:
+def encode(docs: DataFrame, model: str, rate: float = DROPOUT, seed: str = SEED, text: str = "text", key: str = "doc_id", copy: str | None = None, keep_text: bool = False, check: bool = False) -> DataFrame:
     """``docs`` with ``pieces`` (ids). ``model`` is the path of a SentencePiece
     BPE model, present on every executor. The text goes unless ``keep_text``.
+    ``copy`` is a column with numbers that tell rows with one id and text apart.
     ``check`` decodes the pieces again and adds ``lossless``: whether they give
     the text back (null for a null text)."""
     ship(docs.sparkSession)
     new = ("pieces", "lossless") if check else ("pieces",)
-    names = [c for c in docs.columns if c.lower() not in new and (keep_text or c != text)]
-    rows = docs.select(*(F.col(f"`{c}`") for c in names), F.col(f"`{text}`").alias("__text"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("__key"))
+    names = [c for c in docs.columns if c.lower() not in new and c != copy and (keep_text or c != text)]
+    number = F.lit(0).cast("long") if copy is None else F.coalesce(F.col(f"`{copy}`").cast("long"), F.lit(0))
+    rows = docs.select(*(F.col(f"`{c}`") for c in names), F.col(f"`{text}`").alias("__text"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("__key"), number.alias("__copy"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(model, rate, seed, variants)
+        encoder = _encoder(model, rate, seed)
         for batch in batches:
-            start, parts, same, size = 0, [], [], 0
-            keys, texts = batch.column("__key"), batch.column("__text")
-            for i in range(len(batch)):
-                t = texts[i].as_py()
-                ids = None if t is None else encoder.encode(t, keys[i].as_py())
-                parts.append(ids)
-                size += len(ids or b"") // 4
+            sizes = np.cumsum(pc.utf8_length(batch.column("__text")).fill_null(0).to_numpy(zero_copy_only=False))
+            start = 0
+            while start < len(batch):
+                base = sizes[start - 1] if start else 0
+                end = max(start + 1, int(np.searchsorted(sizes, base + BATCH_CHARS, side="right")))
+                done = batch.slice(start, end - start)
+                start = end
+                texts = done.column("__text").to_pylist()
+                parts = encoder.encode_many(texts, done.column("__key").to_pylist(), done.column("__copy").to_pylist())
+                made = [_lists(parts)]
                 if check:
-                    same.append(None if t is None else encoder.decode(np.frombuffer(ids, np.int32).tolist()) == t)
-                if size >= BATCH_PIECES or i == len(batch) - 1:
-                    done = batch.slice(start, len(parts))
-                    made = [_lists(parts), pa.array(same, pa.bool_())][: len(new)]
-                    yield pa.RecordBatch.from_arrays([*(done.column(x) for x in names), *made], names=[*names, *new])
-                    start, parts, same, size = i + 1, [], [], 0
+                    same = [None if t is None else encoder.decode(np.frombuffer(ids, np.int32).tolist()) == t for t, ids in zip(texts, parts, strict=True)]
+                    made.append(pa.array(same, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*(done.column(x) for x in names), *made], names=[*names, *new])
 
     added = [T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("lossless", T.BooleanType())][: len(new)]
     return rows.mapInArrow(run, T.StructType([*(f for f in rows.schema if f.name in names), *added]))
