@@ -3,10 +3,11 @@
 import random
 from array import array
 
+import numpy as np
 import public_tokenizers
 
 from incidentlake.llm import piece_codec
-from incidentlake.llm.piece_codec import Encoder
+from incidentlake.llm.piece_codec import Encoder, draws
 
 PIECES = str(public_tokenizers.path("piece_bpe_32k.model"))
 WORD = "internationalization"
@@ -49,3 +50,29 @@ def test_pipeline_copies_differ(spark):
     assert len({tuple(r.pieces) for r in got}) == 4 and all(r.lossless for r in got)
     again = corpus_pipeline.piece_codec(spark, docs.repartition(2), "").collect()
     assert sorted(r.pieces for r in got) == sorted(r.pieces for r in again)
+
+
+def test_draws_are_independent_by_candidate():
+    keys = np.random.default_rng(1).integers(0, 2**64, 20000, dtype=np.uint64)
+    hit = np.stack([draws(keys, np.full(len(keys), k)) < round(0.1 * 2**32) for k in range(24)])
+    assert (abs(hit.mean(axis=1) - 0.1) < 0.012).all()
+    assert abs(np.corrcoef(hit) - np.eye(24)).max() < 0.035
+
+
+def test_skip_rate_is_the_same_for_early_and_late_candidates():
+    """Also where all candidates are at one place: there each merge of a long
+    chain has a draw of its own, whatever its piece's id."""
+    encoder = Encoder(PIECES, 0.1)
+    kept = encoder.kept
+    for word in (WORD, "representation"):
+        (root,) = kept.of_word(word)
+        keys = np.random.default_rng(2).integers(0, 2**64, 20000, dtype=np.uint64)
+        node, _ = kept.resolve(np.full(len(keys), root), keys, encoder.below)
+        skips = [kept.skips[n] for n in node.tolist()]
+        taken = [kept.left[n] + (s[-1] + 1 if s else 0) for n, s in zip(node.tolist(), skips, strict=True)]
+        plain = kept.left[root]
+        assert plain >= 7
+        for number in range(plain):
+            reached = [number in s for s, n in zip(skips, taken, strict=True) if n > number]
+            assert len(reached) > 4000 and abs(np.mean(reached) - 0.1) < 0.02
+        assert abs(np.mean([not s for s in skips]) - 0.9**plain) < 0.02
