@@ -11,7 +11,9 @@ detections with one start the first in order wins, the longer one among equals.
 Of two detections one of which contains the other, the one earlier in order
 stays, the longer one among equals.
 
-The rules come from two small tables: license names by form of mention. Only
+The rules come from small tables: license names by form of mention, SPDX short
+ids for the tag, short names that count after a grant's words only. The keyword
+test is derived from the rules, one word that each of them needs. Only
 DataFrame functions; every step is linear in the text.
 
 Defined results: null counts as the empty text, which has no words; a text
@@ -21,6 +23,8 @@ results; extra columns are kept, clashing ones replaced.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -69,6 +73,32 @@ NAMES = (
     ("cc-by-nc", "cc by nc(?: [1234] [05])?"), ("cc-by-nd", "cc by nd(?: [1234] [05])?"), ("cc-by-sa", "cc by sa(?: [1234] [05])?"),
     ("cc-by", "cc by(?: [1234] [05])?"), ("public-domain", "public domain"), ("proprietary", "proprietary and confidential"),
 )
+# SPDX short ids, as written after the tag: label, words. The longer ids of a
+# family come first; "only" and "or later" may follow those of the GNU family.
+SPDX_IDS = (
+    ("mit-0", "mit 0"), ("mit", "mit"), ("0bsd", "0bsd"), ("bsd-2-clause", "bsd 2 clause"), ("bsd-3-clause", "bsd 3 clause"), ("bsd-4-clause", "bsd 4 clause"),
+    ("isc", "isc"), ("apache-1.1", "apache 1 1"), ("apache-2.0", "apache 2 0"), ("mpl-1.1", "mpl 1 1"), ("mpl-2.0", "mpl 2 0"),
+    ("gpl-2.0", "gpl 2 0"), ("gpl-3.0", "gpl 3 0"), ("lgpl-2.0", "lgpl 2 0"), ("lgpl-2.1", "lgpl 2 1"), ("lgpl-3.0", "lgpl 3 0"),
+    ("agpl-3.0", "agpl 3 0"), ("gfdl", "gfdl 1 [123]"), ("epl-1.0", "epl 1 0"), ("epl-2.0", "epl 2 0"), ("cddl-1.0", "cddl 1 0"), ("cpl-1.0", "cpl 1 0"),
+    ("eupl-1.2", "eupl 1 2"), ("cecill-2.1", "cecill 2 1"), ("artistic-1.0", "artistic 1 0"), ("artistic-2.0", "artistic 2 0"),
+    ("bsl-1.0", "bsl 1 0"), ("bsl-1.1", "busl 1 1"), ("zlib", "zlib"), ("unlicense", "unlicense"), ("wtfpl", "wtfpl"), ("psf-2.0", "(?:psf 2 0|python 2 0)"),
+    ("ruby", "ruby"), ("php-3.01", "php 3 01"), ("postgresql", "postgresql"), ("openssl", "openssl"), ("ofl-1.1", "ofl 1 1"), ("ncsa", "ncsa"),
+    ("ms-pl", "ms pl"), ("ms-rl", "ms rl"), ("osl-3.0", "osl 3 0"), ("afl-3.0", "afl 3 0"), ("sspl-1.0", "sspl 1 0"), ("elastic-2.0", "elastic 2 0"),
+    ("odbl-1.0", "odbl 1 0"), ("odc-by-1.0", "odc by 1 0"), ("pddl-1.0", "pddl 1 0"), ("cc0-1.0", "cc0 1 0"), ("cc-by-nc-nd", "cc by nc nd [1234] [05]"),
+    ("cc-by-nc-sa", "cc by nc sa [1234] [05]"), ("cc-by-nc", "cc by nc [1234] [05]"), ("cc-by-nd", "cc by nd [1234] [05]"), ("cc-by-sa", "cc by sa [1234] [05]"), ("cc-by", "cc by [1234] [05]"),
+)
+_GNU_SUFFIX = "(?: only| or later)?"
+# Names that mean a license only after the words of a tag or a grant.
+SHORT_NAMES = (
+    ("gpl", "gpl"), ("lgpl", "lgpl"), ("lgpl-2.0", f"lgpl {_V}2(?: 0)?"), ("lgpl-3.0", f"lgpl {_V}3(?: 0)?"), ("agpl", "agpl"), ("agpl-3.0", f"agpl {_V}3(?: 0)?"),
+    ("mpl", "mpl"), ("mpl-1.1", f"mpl {_V}1 1"), ("mpl-2.0", f"mpl {_V}2(?: 0)?"), ("mit", "mit"), ("isc", "isc"), ("zlib", "zlib"), ("bsd", "bsd"),
+    ("epl", "epl"), ("epl-1.0", f"epl {_V}1(?: 0)?"), ("epl-2.0", f"epl {_V}2(?: 0)?"), ("bsl-1.0", "bsl 1 0"), ("0bsd", "0bsd"), ("ofl-1.1", "(?:sil )?ofl(?: 1 1)?"),
+)
+# Abbreviations with a version, which stand for a license by themselves.
+VERSIONED = (
+    ("mpl-1.1", f"mpl {_V}1 1"), ("mpl-2.0", f"mpl {_V}2(?: 0)?"), ("lgpl-2.0", f"lgpl {_V}2(?: 0)?"), ("lgpl-3.0", f"lgpl {_V}3(?: 0)?"), ("agpl-3.0", f"agpl {_V}3(?: 0)?"),
+    ("epl-1.0", f"epl {_V}1 0"), ("epl-2.0", f"epl {_V}2 0"),
+)
 _GRANT = "(?:licen[sc]ed|released|distributed|redistributed|published|available|provided|covered|governed|shared)"
 GRANT_WORDS = "licensed licenced released distributed redistributed published available provided covered governed shared".split()
 # Forms of mention, in order: name, anchor (None: the name's first word), text before the name, confidence.
@@ -96,11 +126,17 @@ class LicenseRule:
     score: float
 
 
+def _longer_first(names) -> list[tuple[str, str]]:
+    return sorted(names, key=lambda x: " " not in x[1])
+
+
 def build_rules() -> tuple[LicenseRule, ...]:
     """All rules: forms by names, then the other signatures; order is priority."""
     rules = []
     for form, anchor, before, score in FORMS:
-        for label, name in NAMES:
+        # within a form the longer of two mentions must come first
+        more = {"tag": [(label, x + (_GNU_SUFFIX if "gpl" in x or "gfdl" in x else "")) for label, x in SPDX_IDS], "grant": _longer_first(SHORT_NAMES), "name": list(VERSIONED)}[form]
+        for label, name in [*NAMES, *more]:
             if form == "grant":
                 # "under the GNU ..." may have lost nothing: a name that begins with gnu keeps it
                 own = before.replace("(?:gnu )?(?=GNU)", "" if name.startswith("gnu ") else "(?:gnu )?")
@@ -113,8 +149,32 @@ def build_rules() -> tuple[LicenseRule, ...]:
 
 RULES = build_rules()
 _SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_GATE_WORDS = ("licen", "reserved", "copyright", "gpl", "public domain", "permission", "proprietary", "creative", "cc0", "wtfpl", "apache", "mozilla", "cecill", "redistribution", "bsd")
-_GATE_PATTERN = r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by"
+
+
+def gate_word(pattern: str) -> str:
+    """A word, or part of one, that every match of the pattern has."""
+    rest = None
+    while rest != pattern:
+        rest, pattern = pattern, re.sub(r"\(\?[:=][^()]*\)\??", "", pattern)
+    if "licen[sc]e" in rest:
+        return "licen"
+    return max(re.findall(r"(?<![\w\]])[a-z0-9]*[a-z][a-z0-9]*(?![\w\[])", rest), key=len)
+
+
+def gate_of(rules) -> Callable[[Column], Column]:
+    """Test on the lower-cased text that every text with a detection passes:
+    long words anywhere, those of up to four characters as words."""
+    needed = sorted({gate_word(r.pattern) for r in rules} | {gate_word(phrase) for phrase in BASE_PHRASES} | {"licen"})
+    short = f"(?:^|{_SEPARATOR})(?:" + "|".join(w for w in needed if len(w) <= 4) + f")(?:{_SEPARATOR}|$)"
+
+    def passes(low: Column) -> Column:
+        gate = low.rlike(short)
+        for word in needed:
+            if len(word) > 4:
+                gate = gate | F.contains(low, F.lit(word))
+        return gate
+
+    return passes
 
 
 def words_of(text: Column) -> Column:
@@ -179,10 +239,7 @@ def scan_licenses(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame
     new = ("n_words", "base", "detections", "base_labels", "labels", "score")
     names = [c for c in docs.columns if c != text and c.lower() not in new]
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    low = F.lower(body)
-    gate = body.rlike("(?i)" + _GATE_PATTERN)
-    for word in _GATE_WORDS:
-        gate = gate | F.contains(low, F.lit(word))
+    gate = gate_of(rules)(F.lower(body))
     n_words = F.regexp_count(body, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long")
     rows = docs.select(*(F.col(f"`{c}`") for c in names), n_words.alias("n_words"), F.when(gate, words_of(body)).otherwise(F.array().cast("array<string>")).alias("__words"))
     base = None
