@@ -40,3 +40,9 @@ def test_short_names(spark):
     }
     got = labels(spark, [*cases, "the mit and gpl of it, mitre", ""])
     assert [got[k] for k in range(len(cases) + 2)] == [*([x] for x in cases.values()), [], []]
+
+
+def test_gate_lets_wrapped_and_hyphenated_words_pass(spark):
+    cases = {"public\ndomain": "public-domain", "public-domain": "public-domain", "released into the public\ndomain": "public-domain", "MIT No Attribution": "mit-0"}
+    got = labels(spark, list(cases))
+    assert [got[k] for k in range(len(cases))] == [[x] for x in cases.values()]
