@@ -123,11 +123,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", n_buckets:
     reaches the driver is at most ``n_buckets + 1`` numbers per language."""
     ship(labelled.sparkSession)
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.col("lang").isNotNull())
+    found = rows.select("lang").distinct().limit(max_languages + 1).count()
+    if found > max_languages:  # before any count reaches the driver
+        raise ValueError(f"more than {max_languages} label values; the broadcast matrix is bounded to {max_languages} languages")
     counts = rows.mapInArrow(_count_grams(n_buckets), "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = counts.toArrow()
     languages = sorted(set(table.column("lang").to_pylist()))
-    if len(languages) > max_languages:
-        raise ValueError(f"{len(languages)} label values; the broadcast matrix is bounded to {max_languages} languages")
     place = {x: i for i, x in enumerate(languages)}
     matrix = np.zeros((len(languages), n_buckets + 1))
     owner = np.array([place[x] for x in table.column("lang").to_pylist()], dtype=np.int64)
