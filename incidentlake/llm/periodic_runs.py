@@ -167,13 +167,13 @@ def find_runs(docs: DataFrame, text: str = "text", runs: str = "runs", collapsed
     others = whole(docs, text, runs, collapsed)
     columns = [*others, F.col(f"`{text}`")] if keep_text and text not in (runs, collapsed) else others
     kept = docs.select(*columns)
-    names = [*kept.columns, runs, collapsed]
+    names, width = [*kept.columns, runs, collapsed], len(kept.columns)
     rows = docs.select(*others, F.col(f"`{text}`").alias(free_name([runs, collapsed, *docs.columns], "searched")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = _searched(batch.columns[-1], min_length, min_exponent)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *found], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *found], names=names)
 
     return rows.mapInArrow(run, T.StructType([*kept.schema, T.StructField(runs, _RUNS), T.StructField(collapsed, T.StringType())]))
 
