@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentlake.llm import embedding_join, license_scan, periodic_runs, secret_scan, sql
+from incidentlake.llm import embedding_join, license_scan, periodic_runs, secret_scan, sql, vector_codes
 from incidentlake.llm._stored import scratch_path
 from incidentlake.llm.language_id import identify
 from incidentlake.llm.line_dedup import PASSAGE_WORDS, drop_repeated_lines
@@ -72,6 +72,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.repeat_tails(_read(spark, sf_dir, "documents", "doc_id", "text"))
     return periodic_runs.digest(periodic_runs.find_runs(docs, keep_text=False))
