@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentlake.llm import embedding_join, license_scan, periodic_runs, secret_scan, sql, vector_codes
+from incidentlake.llm import embedding_join, license_scan, packing, periodic_runs, secret_scan, sql, vector_codes
 from incidentlake.llm._stored import scratch_path
 from incidentlake.llm.language_id import identify
 from incidentlake.llm.line_dedup import PASSAGE_WORDS, drop_repeated_lines
@@ -72,6 +72,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    pieces = packing.token_pieces(docs, str(public_tokenizers.path("word_bpe_49k.json")))
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(_read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 

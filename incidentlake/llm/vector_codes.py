@@ -173,8 +173,8 @@ def _sums(books: Codebooks):
 def first_entries(rows: DataFrame, parts: int = PARTS, entries: int = ENTRIES) -> Codebooks:
     """The parts of the rows of smallest id."""
     first = rows.select("id", "x").orderBy(F.asc_nulls_last("id"), "x").limit(entries).collect()
-    x = np.array([r["x"] for r in first], np.int64).reshape(len(first), -1)
-    return Codebooks(tuple(np.split(x, parts, axis=1)) if len(first) else tuple(np.zeros((0, 1), np.int64) for _ in range(parts)))
+    x = np.array([r["x"] for r in first] or np.zeros((0, parts)), np.int64)
+    return Codebooks(tuple(np.split(x, parts, axis=1)))
 
 
 def refined(rows: DataFrame, books: Codebooks) -> Codebooks:
