@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from incidentlake.functions import exact_avg, sql_round
 
 
+# Silver columns whose unparsed values the profile counts.
+PROFILED: tuple[str, ...] = ("timestamp", "source_port", "destination_port", "anomaly_score")
+
+
 def layer_count(df: DataFrame) -> DataFrame:
     """One row: number of rows in a layer."""
     return df.agg(F.count(F.lit(1)).alias("rows"))
@@ -26,13 +30,8 @@ def top_attacks(silver: DataFrame, k: int = 5) -> DataFrame:
 
 def silver_profile(silver: DataFrame) -> DataFrame:
     """One row: Silver rows and how many kept rows have unparsed values."""
-    return silver.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("timestamp").isNull()).alias("null_timestamp"),
-        F.count_if(F.col("source_port").isNull()).alias("null_source_port"),
-        F.count_if(F.col("destination_port").isNull()).alias("null_destination_port"),
-        F.count_if(F.col("anomaly_score").isNull()).alias("null_anomaly_score"),
-    )
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in PROFILED]
+    return silver.agg(F.count(F.lit(1)).alias("rows"), *nulls)
 
 
 def gold_summary(gold: DataFrame) -> DataFrame:

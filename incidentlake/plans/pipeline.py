@@ -1,9 +1,10 @@
 """Layer jobs: CSV -> Bronze -> Silver -> Gold, each stored as Parquet.
 
 Layers are coupled only through their stored output, so any layer can be
-re-run alone; a write replaces the target only when it is complete, so re-runs
-are idempotent and a failed one leaves the old layer. Each job returns a
-``LayerReport`` whose counts are read back from what is stored. Writing each
+re-run alone; a write is a version of its own, which a small commit makes
+current when it is complete (``incidentlake.layers``), so re-runs are idempotent
+and a failed or killed one leaves the old layer. Each job returns a
+``LayerReport`` whose counts come from the footers of what is stored. Writing each
 layer also cuts lineage: a lost executor never forces a recomputation further
 back than the previous stored layer.
 """
@@ -19,11 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from incidentlake.config import LayerConfig
-from incidentlake.operators.bronze import land, load_profile, no_cut_values
+from incidentlake.layers import commit_layer
+from incidentlake.operators.bronze import land, no_cut_values
 from incidentlake.operators.gold import to_gold
-from incidentlake.operators.quality import gold_summary, silver_profile, top_attacks
+from incidentlake.operators.quality import PROFILED, gold_summary, top_attacks
 from incidentlake.operators.silver import to_silver
-from incidentlake.sinks import write_layer
+from incidentlake.schemas import CORRUPT_RECORD
 from incidentlake.sources import first_existing, read_bronze, read_layer, read_raw_csv
 
 log = logging.getLogger(__name__)
@@ -47,24 +49,25 @@ def run_bronze(spark: SparkSession, cfg: LayerConfig) -> LayerReport:
     reader would take them); every expected column must be present and every
     file's header must agree. Malformed lines are stored too, flagged by
     ``_corrupt_record``, so the rejects stay inspectable. The accepted and
-    rejected counts are read back from the stored table.
+    rejected counts come from the footers of the stored table.
     """
     t0 = time.perf_counter()
     source = first_existing(spark, cfg.raw_csv)
     raw = read_raw_csv(
         spark, source, multiline=cfg.multiline_csv, from_header=cfg.columns_from_header
     )
-    write_layer(
+    stored = commit_layer(
         land(raw),
         cfg.bronze,
         rows_per_group=cfg.row_group_rows,
         partition_by=cfg.partition_by.get("bronze", ()),
-        check=None if cfg.multiline_csv else no_cut_values,
+        counted=[CORRUPT_RECORD],
+        check=None if cfg.multiline_csv else (lambda rows, _: no_cut_values(rows)),
     )
-    prof = load_profile(read_layer(spark, cfg.bronze)).first()
+    rejected = stored.not_null[CORRUPT_RECORD]
     report = LayerReport(
-        "bronze", cfg.bronze, int(prof["rows"]), time.perf_counter() - t0,
-        {"source": source, "rejected": int(prof["rejected"])},
+        "bronze", cfg.bronze, stored.rows - rejected, time.perf_counter() - t0,
+        {"source": source, "rejected": rejected},
     )
     log.info("bronze: %s rows (%s rejected) in %.2fs", f"{report.rows:,}",
              report.details["rejected"], report.seconds)
@@ -72,19 +75,19 @@ def run_bronze(spark: SparkSession, cfg: LayerConfig) -> LayerReport:
 
 
 def run_silver(spark: SparkSession, cfg: LayerConfig, top_k: int = 5) -> LayerReport:
-    """Bronze -> Silver; the row profile and the top attacks are read back from
-    the stored layer."""
+    """Bronze -> Silver. The row profile comes from the footers of what is
+    stored; the top attacks read one column of it."""
     t0 = time.perf_counter()
-    write_layer(
+    stored = commit_layer(
         to_silver(read_bronze(spark, cfg.bronze)),
         cfg.silver,
         rows_per_group=cfg.row_group_rows,
         partition_by=cfg.partition_by.get("silver", ()),
+        counted=PROFILED,
     )
-    stored = read_layer(spark, cfg.silver)
-    prof = silver_profile(stored).first().asDict()
-    top = [(r["attack_type"], int(r["total"])) for r in top_attacks(stored, top_k).collect()]
-    rows = int(prof.pop("rows"))
+    prof = {f"null_{c}": stored.rows - n for c, n in stored.not_null.items()}
+    top = [(r["attack_type"], int(r["total"])) for r in top_attacks(read_layer(spark, cfg.silver), top_k).collect()]
+    rows = stored.rows
     report = LayerReport("silver", cfg.silver, rows, time.perf_counter() - t0,
                          {**prof, "top_attacks": top})
     log.info("silver: %s rows in %.2fs; top attacks %s", f"{rows:,}", report.seconds, top)
@@ -94,8 +97,8 @@ def run_silver(spark: SparkSession, cfg: LayerConfig, top_k: int = 5) -> LayerRe
 def run_gold(spark: SparkSession, cfg: LayerConfig) -> LayerReport:
     """Silver -> Gold fact table, then summarise the stored table."""
     t0 = time.perf_counter()
-    write_layer(to_gold(read_layer(spark, cfg.silver)), cfg.gold,
-                partition_by=cfg.partition_by.get("gold", ()))
+    commit_layer(to_gold(read_layer(spark, cfg.silver)), cfg.gold,
+                 partition_by=cfg.partition_by.get("gold", ()))
     summary = gold_summary(read_layer(spark, cfg.gold)).first().asDict()
     rows = int(summary.pop("total_rows"))
     report = LayerReport("gold", cfg.gold, rows, time.perf_counter() - t0, summary)

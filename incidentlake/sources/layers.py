@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from incidentlake.layers import current_version, read_version
 from incidentlake.operators.bronze import accepted, rejected
 
 
@@ -27,8 +28,10 @@ def first_existing(spark: SparkSession, candidates: Sequence[str]) -> str:
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    """A stored layer (Parquet directory). Lazy: nothing is read until an action."""
-    return spark.read.parquet(path)
+    """A stored layer: the current version of a versioned one, else the Parquet
+    folder. Lazy: but for the manifest nothing is read until an action."""
+    manifest = current_version(spark, path)
+    return spark.read.parquet(path) if manifest is None else read_version(spark, path, manifest)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

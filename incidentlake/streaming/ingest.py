@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from incidentlake.config import LayerConfig
+from incidentlake.layers import is_versioned
 from incidentlake.operators.bronze import accepted, land
 from incidentlake.operators.silver import to_silver
 from incidentlake.plans.pipeline import LayerReport, run_gold
@@ -33,7 +34,8 @@ def bronze_stream_schema() -> T.StructType:
 
 
 def _refuse_batch_target(spark: SparkSession, path: str) -> None:
-    if path_exists(spark, path) and not path_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+    streamed = path_exists(spark, f"{path.rstrip('/')}/_spark_metadata") and not is_versioned(spark, path)
+    if path_exists(spark, path) and not streamed:
         raise ValueError(f"{path} was written by a batch job; a stream into it would hide its rows")
 
 
