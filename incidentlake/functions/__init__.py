@@ -1,5 +1,6 @@
 """Column expression helpers (all built-in Spark expressions, no UDFs)."""
 
+from incidentlake.functions.exact import mean_by
 from incidentlake.functions.formatting import (
     exact_half_even,
     format_fixed,
@@ -32,6 +33,7 @@ __all__ = [
     "hour_boundaries",
     "int_avg",
     "mask_ipv4",
+    "mean_by",
     "norm_trim",
     "norm_upper",
     "percent_label",

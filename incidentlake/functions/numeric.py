@@ -9,10 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimal used to make sums of doubles independent of summation order (N12), and
-# the magnitude below which a value may take part, so that a sum cannot overflow.
-EXACT_SUM_TYPE = "decimal(38,6)"
-EXACT_SUM_BOUND = 1e20
+from incidentlake.functions.exact import exact_sum
 
 # The numerals that lenient SQL casts accept. Spark's own cast also
 # takes Java forms (12.5d, 5F, 0x1p3), which are no numbers elsewhere.
@@ -78,16 +75,11 @@ def exact_avg(c: Column | str) -> Column:
     """Average of doubles; no value is ever dropped or cut.
 
     A double sum depends on the order rows arrive in, and a rounding tie can
-    then flip between runs (N12). Where every value of the group survives the
-    trip through a decimal with six places, the decimals are summed instead:
-    exact and associative, so every partitioning -- and the SQL oracle -- gets
-    the same double. A group with any other value (more places, NaN, infinity,
-    or beyond the bound) is averaged as it is.
+    then flip between runs (N12). Here the sum is exact and rounded once
+    (``functions.exact``), so every partitioning gets the same double.
     """
     col = _col(c)
-    d = F.when(F.abs(col) < F.lit(EXACT_SUM_BOUND), col.try_cast(EXACT_SUM_TYPE))
-    lossy = F.count_if(col.isNotNull() & ~F.coalesce(d.cast("double") == col, F.lit(False)))
-    return F.when(lossy == 0, F.sum(d).cast("double") / F.nullif(F.count(col), F.lit(0))).otherwise(F.avg(col))
+    return exact_sum(col) / F.nullif(F.count(col), F.lit(0))
 
 
 def int_avg(c: Column | str) -> Column:

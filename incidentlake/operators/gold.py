@@ -1,26 +1,43 @@
 """Gold: the incident fact table, one row per attack type x severity x
 protocol x action x network segment (NULL is a group of its own).
 
-Plan (see README for measurements):
-
-* Regular measures are built-in aggregates, so Spark aggregates partially
-  (map-side) before the shuffle: a hot group costs one row per task, not a
-  third of the data in one task.
-* The exact distinct network counts need one more shuffle: each row emits
-  (group, source|destination, network) triples, which are de-duplicated
-  map-side and then by the whole triple, so a hot group's networks spread over
-  many tasks. What is left joins the log rows as rows of another kind, and one
-  aggregation by group counts both. No join, two hash exchanges in all.
+Plan (see README for measurements): one scan, two hash exchanges, no join.
+
+* Each row becomes one row with measures and one for either network
+  (``_kind`` 0, 1, 2). They are aggregated together by group, kind, network and
+  window of the score (``functions.exact``): map-side first, so a hot group is one
+  row per task, window and network, and a hot group's networks spread over many
+  tasks.
+* What is left is one row per group and distinct network, and a few rows of
+  partial measures per group. A second aggregation by group counts the former and
+  merges the latter.
+
+The rows between the two steps are mergeable: partial measures and distinct
+networks of an increment and of all that came before add up to those of the
+whole. ``gold_state`` gives them, ``merge_states`` folds two into one, and
+``gold_from_state`` finishes; so Gold can follow Silver without reading it again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentlake.functions import exact_avg, hour_boundaries, int_avg, safe_ratio, sql_round
+from incidentlake.functions import hour_boundaries, safe_ratio, sql_round
+from incidentlake.functions.exact import (
+    NOT_FINITE,
+    PARTIAL_SUMS,
+    VALUES,
+    WINDOW,
+    mean_of,
+    merged_windows,
+    partial_inputs,
+    window_of,
+    with_digits,
+)
 from incidentlake.schemas import (
     GOLD_CREATED_AT,
     GOLD_DIMS,
@@ -51,28 +68,49 @@ def incident_base(silver: DataFrame) -> DataFrame:
     )
 
 
-# 1 in log rows, NULL in the rows that only carry a network.
-_INCIDENT = "_incident"
-_NETWORK = "_network"
+# 0 for rows with measures; the others number the counted column, whose value
+# is beside it.
+_KIND, _VALUE = "_kind", "_value"
+
 
+@dataclass(frozen=True)
+class Partial:
+    """A measure's partial: what is aggregated first, and how partials merge."""
 
-def _count() -> Column:
-    return F.count(_INCIDENT)
+    column: str
+    first: Callable[[Column], Column]
+    merge: Callable[[Column], Column]
 
 
-MEASURES: dict[str, Callable[[], Column]] = {
-    "total_incidents": _count,
-    "avg_anomaly_score": lambda: sql_round(exact_avg("anomaly_score"), 4),
-    "max_anomaly_score": lambda: sql_round(F.max("anomaly_score"), 4),
-    "avg_packet_length": lambda: sql_round(int_avg("packet_length"), 2),
-    "max_packet_length": lambda: F.max("packet_length"),
-    "malware_detected_count": lambda: F.sum("has_malware").cast("bigint"),
-    "malware_pct": lambda: sql_round(
-        safe_ratio(F.lit(100.0) * F.sum("has_malware"), _count()), 2
+PARTIALS: dict[str, Partial] = {
+    "incidents": Partial("has_malware", F.count, F.sum),  # has_malware is never NULL
+    "malware": Partial("has_malware", F.sum, F.sum),
+    "max_score": Partial("anomaly_score", F.max, F.max),
+    "packets": Partial("packet_length", F.count, F.sum),
+    "packet_sum": Partial("packet_length", lambda c: F.sum(c.cast("bigint")), F.sum),
+    "max_packet": Partial("packet_length", F.max, F.max),
+    "first": Partial("timestamp", F.min, F.min),
+    "last": Partial("timestamp", F.max, F.max),
+}
+
+# Measures: the partials that they need, and the value from the merged ones.
+MEASURES: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
+    "total_incidents": (("incidents",), lambda: F.col("incidents")),
+    "avg_anomaly_score": (PARTIAL_SUMS, lambda: sql_round(mean_of(F.col("windows"), F.col(VALUES), F.col(NOT_FINITE)), 4)),
+    "max_anomaly_score": (("max_score",), lambda: sql_round("max_score", 4)),
+    "avg_packet_length": (
+        ("packets", "packet_sum"),
+        lambda: sql_round(safe_ratio(F.col("packet_sum").cast("double"), F.col("packets")), 2),
     ),
-    "first_seen": lambda: F.min("timestamp"),
-    "last_seen": lambda: F.max("timestamp"),
-    "duration_hours": lambda: hour_boundaries(F.min("timestamp"), F.max("timestamp")),
+    "max_packet_length": (("max_packet",), lambda: F.col("max_packet")),
+    "malware_detected_count": (("malware",), lambda: F.col("malware")),
+    "malware_pct": (
+        ("malware", "incidents"),
+        lambda: sql_round(safe_ratio(F.lit(100.0) * F.col("malware"), F.col("incidents")), 2),
+    ),
+    "first_seen": (("first",), lambda: F.col("first")),
+    "last_seen": (("last",), lambda: F.col("last")),
+    "duration_hours": (("first", "last"), lambda: hour_boundaries(F.col("first"), F.col("last"))),
 }
 
 # Exact distinct counts: measure -> counted column.
@@ -82,17 +120,60 @@ DISTINCT_MEASURES: dict[str, str] = {
 }
 
 
-def distinct_networks(base: DataFrame, measures: Sequence[str], dims: Sequence[str] = GOLD_DIMS) -> DataFrame:
-    """The distinct non-NULL values of each counted column per group, in one
-    pass: the dimensions and the number of the measure that counts the row."""
-    pairs = F.explode(
-        F.array(*(
-            F.struct(F.lit(i).alias("tag"), F.col(DISTINCT_MEASURES[m]).alias("value"))
-            for i, m in enumerate(measures)
-        ))
-    ).alias("pair")
-    triples = base.select(*dims, pairs).select(*dims, "pair.tag", "pair.value").where(F.col("value").isNotNull())
-    return triples.distinct().select(*dims, F.col("tag").alias(_NETWORK))
+def _needed(measures: Sequence[str]) -> tuple[list[str], bool]:
+    """Partials that the measures need, and whether the exact sums are among them."""
+    names = dict.fromkeys(p for m in measures if m not in DISTINCT_MEASURES for p in MEASURES[m][0])
+    return [p for p in names if p in PARTIALS], VALUES in names
+
+
+def partial_measures(
+    base: DataFrame,
+    measures: Sequence[str] = GOLD_MEASURES,
+    dims: Sequence[str] = GOLD_DIMS,
+) -> DataFrame:
+    """Partial measures per group (``_kind`` 0; several rows where the scores
+    have several windows) and a row per group and distinct network."""
+    names, summed = _needed(measures)
+    score = F.col("anomaly_score")
+    none, no_window = F.lit(None).cast("string"), F.lit(None).cast("int")
+    kinds = [F.struct(F.lit(0).alias(_KIND), none.alias(_VALUE), (window_of(score) if summed else no_window).alias(WINDOW))]
+    for i, counted in enumerate(DISTINCT_MEASURES.values(), 1):
+        if any(DISTINCT_MEASURES.get(m) == counted for m in measures):
+            kinds.append(F.struct(F.lit(i).alias(_KIND), F.col(counted).alias(_VALUE), no_window.alias(WINDOW)))
+    inputs = dict.fromkeys([PARTIALS[n].column for n in names] + (["anomaly_score"] if summed else []))
+    rows = base.select(*dims, *inputs, F.inline(F.array(*kinds)))
+    own = F.col(_KIND) == 0
+    rows = rows.where(own | F.col(_VALUE).isNotNull())
+    aggs = [PARTIALS[n].first(F.when(own, F.col(PARTIALS[n].column))).alias(n) for n in names]
+    if summed:
+        aggs += [F.sum(F.when(own, c)).alias(n) for n, c in partial_inputs(score, F.col(WINDOW)).items()]
+    if not aggs:
+        aggs = [F.count(F.lit(1)).alias("rows")]
+    return rows.groupBy(*dims, _KIND, _VALUE, WINDOW).agg(*aggs)
+
+
+def merge_partials(partials: DataFrame, dims: Sequence[str] = GOLD_DIMS) -> DataFrame:
+    """Partials of several parts of the log -> partials of all of it."""
+    merge = {n: PARTIALS[n].merge if n in PARTIALS else F.sum for n in partials.columns if n not in (*dims, _KIND, _VALUE, WINDOW)}
+    return partials.groupBy(*dims, _KIND, _VALUE, WINDOW).agg(*(f(F.col(n)).alias(n) for n, f in merge.items()))
+
+
+def finish_measures(
+    partials: DataFrame,
+    measures: Sequence[str] = GOLD_MEASURES,
+    dims: Sequence[str] = GOLD_DIMS,
+) -> DataFrame:
+    """Partials -> one row per group with the named measures."""
+    names, summed = _needed(measures)
+    aggs = [PARTIALS[n].merge(F.col(n)).alias(n) for n in names]
+    if summed:
+        partials = with_digits(partials)
+        aggs += [F.sum(VALUES).alias(VALUES), F.sum(NOT_FINITE).alias(NOT_FINITE), merged_windows().alias("windows")]
+    for i, m in enumerate(DISTINCT_MEASURES, 1):
+        if m in measures:
+            aggs.append(F.count_if(F.col(_KIND) == i).alias(m))
+    value = lambda m: F.col(m) if m in DISTINCT_MEASURES else MEASURES[m][1]()
+    return partials.groupBy(*dims).agg(*aggs).select(*dims, *(value(m).alias(m) for m in measures))
 
 
 def aggregate_incidents(
@@ -101,13 +182,25 @@ def aggregate_incidents(
     dims: Sequence[str] = GOLD_DIMS,
 ) -> DataFrame:
     """GROUP BY the Gold dimensions with the named measures (in that order)."""
-    distinct = [m for m in measures if m in DISTINCT_MEASURES]
-    rows = base.withColumn(_INCIDENT, F.lit(1))
-    if distinct:
-        rows = rows.unionByName(distinct_networks(base, distinct, dims), allowMissingColumns=True)
-    counted = {m: F.count_if(F.col(_NETWORK) == F.lit(i)) for i, m in enumerate(distinct)}
-    aggs = [(counted[m] if m in counted else MEASURES[m]()).alias(m) for m in measures]
-    return rows.groupBy(*dims).agg(*aggs).select(*dims, *measures)
+    return finish_measures(partial_measures(base, measures, dims), measures, dims)
+
+
+def gold_state(silver: DataFrame) -> DataFrame:
+    """The mergeable state of some Silver rows."""
+    return partial_measures(incident_base(silver))
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """One state from several: a union and an aggregation."""
+    rows = states[0]
+    for more in states[1:]:
+        rows = rows.unionByName(more)
+    return merge_partials(rows)
+
+
+def gold_from_state(state: DataFrame, *, stamp: bool = True, sort: bool = True) -> DataFrame:
+    """Gold fact table from the state of all Silver rows."""
+    return _stamped(finish_measures(state), stamp, sort)
 
 
 def sort_fact(gold: DataFrame) -> DataFrame:
@@ -119,9 +212,12 @@ def sort_fact(gold: DataFrame) -> DataFrame:
     )
 
 
-def to_gold(silver: DataFrame, *, stamp: bool = True, sort: bool = True) -> DataFrame:
-    """Silver -> Gold fact table (18 columns; 17 without the stamp)."""
-    gold = aggregate_incidents(incident_base(silver))
+def _stamped(gold: DataFrame, stamp: bool, sort: bool) -> DataFrame:
     if stamp:
         gold = gold.withColumn(GOLD_CREATED_AT, F.current_timestamp())
     return sort_fact(gold) if sort else gold
+
+
+def to_gold(silver: DataFrame, *, stamp: bool = True, sort: bool = True) -> DataFrame:
+    """Silver -> Gold fact table (18 columns; 17 without the stamp)."""
+    return _stamped(aggregate_incidents(incident_base(silver)), stamp, sort)

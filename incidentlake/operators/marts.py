@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incidentlake.functions import (
-    exact_avg,
     format_fixed,
     half_even_round,
+    mean_by,
     percent_label,
     thousands,
 )
@@ -43,6 +43,9 @@ TABLE_COLUMNS: tuple[str, ...] = (
     "unique_source_networks",
 )
 
+# Protocols that the heatmap takes as columns at most.
+HEATMAP_COLUMNS = 200
+
 # The incident table's headings, by column.
 DISPLAY_LABELS: dict[str, str] = {
     "attack_type": "Tipo de Ataque",
@@ -125,17 +128,17 @@ def kpis(filtered: DataFrame) -> DataFrame:
     ``distinct_networks`` sums per-group distinct counts (a network seen in two
     groups counts twice) -- both as the dashboard defines them.
     """
-    sev = F.col("severity_level")
-    return filtered.agg(
-        F.coalesce(F.sum("total_incidents"), F.lit(0)).cast("bigint").alias("total_incidents"),
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    critical = F.when(F.col("severity_level") == F.lit(CRITICAL), F.col("total_incidents"))
+    mean = mean_by(filtered, [], "avg_anomaly_score", "avg_anomaly", {}, {}).scalar()
+    sums = filtered.agg(
+        total("total_incidents").alias("total_incidents"),
         F.count_distinct("attack_type").alias("distinct_attacks"),
-        exact_avg("avg_anomaly_score").alias("avg_anomaly"),
-        F.coalesce(F.sum("malware_detected_count"), F.lit(0)).cast("bigint").alias("total_malware"),
-        F.coalesce(
-            F.sum(F.when(sev == F.lit(CRITICAL), F.col("total_incidents"))), F.lit(0)
-        ).cast("bigint").alias("critical_count"),
-        F.coalesce(F.sum("unique_source_networks"), F.lit(0)).cast("bigint").alias("distinct_networks"),
+        total("malware_detected_count").alias("total_malware"),
+        total(critical).alias("critical_count"),
+        total("unique_source_networks").alias("distinct_networks"),
     )
+    return sums.select("total_incidents", "distinct_attacks", mean.alias("avg_anomaly"), "total_malware", "critical_count", "distinct_networks")
 
 
 def kpis_formatted(kpi_row: DataFrame) -> DataFrame:
@@ -196,13 +199,27 @@ def _cells(filtered: DataFrame) -> DataFrame:
     return filtered.where(F.col("attack_type").isNotNull() & F.col("protocol").isNotNull())
 
 
-def heatmap(filtered: DataFrame, protocols: Sequence[str]) -> DataFrame:
-    """Attack types as rows, the given protocols (the filter's options) as
-    columns, incidents in the cells (missing combinations are 0)."""
-    pivoted = _cells(filtered).groupBy("attack_type").pivot("protocol", list(protocols)).agg(
+def heatmap(filtered: DataFrame, protocols: Sequence[str] | None = None, max_columns: int = HEATMAP_COLUMNS) -> DataFrame:
+    """Attack types as rows, protocols as columns, incidents in the cells
+    (missing combinations are 0).
+
+    Without a list the protocols are those of the data, in order: a first, small
+    job lists them (two phases, as a plan has to know its columns). A table with
+    more than ``max_columns`` of them is better read by cells, and raises.
+    """
+    cells = _cells(filtered)
+    if protocols is None:
+        found = cells.select("protocol").distinct().orderBy("protocol").limit(max_columns + 1).collect()
+        if len(found) > max_columns:
+            raise ValueError(f"more than {max_columns} protocols; use heatmap_cells, a row for every cell")
+        protocols = [r["protocol"] for r in found]
+    if not protocols:
+        return cells.select("attack_type").distinct().orderBy("attack_type")
+    pivoted = cells.groupBy("attack_type").pivot("protocol", list(protocols)).agg(
         F.sum("total_incidents").cast("bigint")
     )
-    return pivoted.na.fill(0, subset=list(protocols)).orderBy("attack_type")
+    filled = [F.coalesce(F.col(f"`{p}`"), F.lit(0)).alias(p) for p in (p.replace("`", "``") for p in protocols)]
+    return pivoted.select("attack_type", *filled).orderBy("attack_type")
 
 
 def heatmap_cells(filtered: DataFrame) -> DataFrame:
@@ -221,15 +238,11 @@ def heatmap_cells(filtered: DataFrame) -> DataFrame:
 def anomaly_by_attack(filtered: DataFrame) -> DataFrame:
     """Mean of group mean scores and the maximum score per attack type,
     highest mean first."""
-    return (
-        filtered.where(F.col("attack_type").isNotNull())
-        .groupBy("attack_type")
-        .agg(
-            exact_avg("avg_anomaly_score").alias("avg_anomaly"),
-            F.max("max_anomaly_score").alias("max_anomaly"),
-        )
-        .orderBy(F.desc_nulls_last("avg_anomaly"), F.asc("attack_type"))
-    )
+    means = mean_by(
+        filtered.where(F.col("attack_type").isNotNull()), ["attack_type"], "avg_anomaly_score", "avg_anomaly",
+        first={"max_anomaly": F.max("max_anomaly_score")}, second={"max_anomaly": F.max("max_anomaly")},
+    )
+    return means.select("attack_type", "avg_anomaly", "max_anomaly").orderBy(F.desc_nulls_last("avg_anomaly"), F.asc("attack_type"))
 
 
 def severity_rank(c: Column | str = "severity_level") -> Column:

@@ -34,10 +34,12 @@ RAW_NAMES = (
 
 
 def _avg(c: str) -> str:
-    """Average of doubles: by exact decimals where no value of the group loses by them."""
-    kept = f"CASE WHEN abs({c}) < 1e20 THEN TRY_CAST({c} AS DECIMAL(38,6)) END"
-    lossy = f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT coalesce(CAST({kept} AS DOUBLE) = {c}, false))"
-    return f"CASE WHEN {lossy} = 0 THEN CAST(sum({kept}) AS DOUBLE) / nullif(count({c}), 0) ELSE avg({c}) END"
+    """Average of doubles: whole parts and fractions in units of 2^-60 summed as
+    huge integers; NaN and infinities plainly."""
+    unit = 2**60
+    whole, fraction = f"TRY_CAST(trunc({c}) AS HUGEINT)", f"TRY_CAST(trunc(({c} - trunc({c})) * {unit}) AS HUGEINT)"
+    total = f"CAST(sum({whole}) * {unit} + sum({fraction}) AS DOUBLE) / {unit}"
+    return f"CASE WHEN bool_or(NOT isfinite({c})) THEN avg({c}) ELSE {total} / nullif(count({c}), 0) END"
 
 
 def _network(c: str) -> str:
