@@ -28,7 +28,9 @@ of the results, which are replaced.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,8 @@ from pyspark.sql import types as T
 from incidentlake.llm._columns import free_name, whole
 from incidentlake.llm._ship import ship
 from incidentlake.llm._stored import stored
-from incidentlake.llm._text import slices, utf8, word_bounds
+from incidentlake.llm._text import ASCII_LOWER, slices, utf8, word_bounds
+from incidentlake.llm.token_counts import byte_symbols
 
 CAPACITY = 2048
 END_ID = 0
@@ -47,19 +50,39 @@ BLOCK = 4096
 ISLANDS, POPULATION, EPOCHS, GENERATIONS = 3, 5, 3, 24
 GOOD_FILL = 0.98
 WORTH = 0.001  # a level that saves a smaller share of its bins is the last
-CACHE_WORDS, CACHE_IDS = 200_000, 2_000_000
+CACHE_WORDS, CACHE_IDS = 400_000, 4_000_000  # tokens that a worker keeps, and their ids
+
+
+def _classes() -> np.ndarray:
+    """Class of each byte: 0 letter, 1 digit, 2 other printable, 3 not plain."""
+    out = np.full(256, _ODD, np.uint8)
+    out[0x21:0x7F] = 2
+    out[0x30:0x3A] = _DIGIT
+    for first, last in ((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xBF), (0xC3, 0xC9)):
+        out[first : last + 1] = 0  # two-byte characters from U+00C0 to U+027F are letters, but for three
+    out[0x27] = _ODD
+    return out
+
+
+_DIGIT, _ODD = 1, 3
+_CLASS = _classes()
+_PLAIN = re.compile(rb"(?:[a-z]|[\xc3-\xc9][\x80-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 
 
 class WordIds:
-    """Ids of words by the library, kept by word. The vocabulary's normaliser and
-    pre-tokeniser never look across white space, so a text's ids are those of
-    its words, one after the other."""
+    """Ids of words by the library, kept by pre-token. The vocabulary's normaliser
+    and pre-tokeniser never look across white space, so a text's ids are those of
+    its words, one after the other. Words of plain characters are cut further, as
+    the pre-tokeniser cuts them: runs of letters, single digits and runs of other
+    signs. Words with an apostrophe, a special string's beginning or any other
+    character go to the library as they are."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.symbols = str.maketrans({chr(b): c for b, c in enumerate(byte_symbols())})
         self._forget()
 
     def _forget(self) -> None:
@@ -67,28 +90,56 @@ class WordIds:
         self.begin = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn(self, words: list[bytes]) -> None:
-        found = [e.ids for e in self.library.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-        self.slot.update(zip(words, range(len(self.slot), len(self.slot) + len(words)), strict=True))
-        self.ids = np.concatenate([self.ids, *(np.array(x, np.uint32) for x in found)])
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)])
-
-    def __call__(self, raw: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of every text of a UTF-8 buffer, each followed by ``end``, and
-        the bounds of the texts among them. ``bounds`` starts at 0."""
+    def _plain_ids(self, token: bytes) -> list[int]:
+        lowered = token.decode().lower().encode()
+        return [t.id for t in self.library.model.tokenize(lowered.decode("latin-1").translate(self.symbols))]
+
+    def _learn(self, tokens: list[bytes]) -> None:
+        plain = [_PLAIN.fullmatch(t) is not None for t in tokens]
+        others = iter(self.library.encode_batch_fast([t.decode() for t, p in zip(tokens, plain, strict=True) if not p], add_special_tokens=False))
+        found = [self._plain_ids(t) if p else next(others).ids for t, p in zip(tokens, plain, strict=True)]
+        self.slot.update(zip(tokens, range(len(self.slot), len(self.slot) + len(tokens)), strict=True))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+
+    @staticmethod
+    def _cut(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The texts without white space, the starts of the tokens in them, and
+        the number of tokens before each text and in all."""
         starts, ends, row = word_bounds(raw, bounds)
-        edges = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
         inside = np.zeros(len(raw) + 1, np.int8)
         inside[starts] += 1  # a word may begin where the last one of the row before ends
         inside[ends] -= 1
-        packed = raw[np.cumsum(inside[:-1]).astype(bool)]
-        words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(packed)]).dictionary_encode()
-        distinct = words.dictionary.to_pylist()
+        packed = raw[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
+        word = np.concatenate([[0], np.cumsum(ends - starts)])
+        if not len(packed):
+            return packed, word[:-1], row
+        kind = _CLASS[packed]
+        pair = packed[:-1].astype(np.uint16) << 8 | packed[1:]
+        odd = kind == _ODD
+        odd[:-1] |= np.isin(pair, (0xC397, 0xC3B7, 0xC4B0, 0x3C7C))  # no letters; a lower case of two characters; a special string
+        plain = ~np.logical_or.reduceat(odd, word[:-1])
+        each = np.repeat(plain, np.diff(word))
+        packed = np.where(each, ASCII_LOWER[packed], packed)
+        first = np.zeros(len(packed), bool)
+        first[1:] = each[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+        first[word[:-1]] = True
+        token = np.flatnonzero(first)
+        return packed, token, np.searchsorted(token, word[row])
+
+    def __call__(self, raw: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of every text of a UTF-8 buffer, each followed by ``end``, and
+        the bounds of the texts among them. ``bounds`` starts at 0."""
+        packed, token, row = self._cut(raw, bounds)
+        edges = np.append(token, len(packed)).astype(np.int32)
+        tokens = pa.Array.from_buffers(pa.binary(), len(token), [None, pa.py_buffer(edges), pa.py_buffer(packed)]).dictionary_encode()
+        distinct = tokens.dictionary.to_pylist()
         if len(self.slot) + len(distinct) > CACHE_WORDS or len(self.ids) > CACHE_IDS:
             self._forget()
         if new := [w for w in distinct if w not in self.slot]:
             self._learn(new)
-        slot = np.array([self.slot[w] for w in distinct], np.int64)[words.indices.to_numpy()] if distinct else np.zeros(0, np.int64)
+        slot = np.array([self.slot[w] for w in distinct], np.int64)[tokens.indices.to_numpy()] if distinct else np.zeros(0, np.int64)
         size = self.begin[slot + 1] - self.begin[slot]
         place = np.concatenate([[0], np.cumsum(size)])
         text = place[row] + np.arange(len(row))  # one end id more for every text before
