@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from incidentlake.schemas import CORRUPT_RECORD, RAW_COLUMNS
+from incidentlake.sources.csv_ranges import has_large_file, read_ranges
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -96,6 +97,12 @@ def header_columns(spark: SparkSession, paths: str | Sequence[str], multiline: b
     return next(csv.reader([line], quotechar='"', doublequote=True))
 
 
+def _range_bytes(spark: SparkSession) -> int:
+    """``spark.sql.files.maxPartitionBytes`` in bytes."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
 def read_raw_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -118,10 +125,12 @@ def read_raw_csv(
     * Malformed lines (too many or too few fields) are kept, with the original
       line in ``_corrupt_record``, so they can be counted and stored apart
       instead of vanishing.
-    * Quoted line breaks belong to the value, so each file is read by a single
-      task; many files are the unit of parallelism. ``multiline=False`` splits
-      large files, for logs known to hold one line per record; the Bronze job
-      then fails if a rejected line shows that a quoted break was cut.
+    * Quoted line breaks belong to the value. Where a file is larger than
+      ``spark.sql.files.maxPartitionBytes``, files are read by byte ranges that
+      find their record boundaries themselves (``sources.csv_ranges``); else a
+      file is a task, which saves the first pass. ``multiline=False`` is for
+      logs known to hold one line per record; the Bronze job then fails if a
+      rejected line shows that a quoted break was cut.
     """
     plist = _paths(paths)
     if from_header:
@@ -137,4 +146,6 @@ def read_raw_csv(
         kept = [f for f in inferred if f.name != CORRUPT_RECORD]
         schema = T.StructType([*kept, T.StructField(CORRUPT_RECORD, T.StringType(), True)])
         return _reader(spark, multiline).schema(schema).csv(plist)
+    if multiline and has_large_file(spark, plist, _range_bytes(spark)):
+        return read_ranges(spark, plist, raw_read_schema(names), csv_options(multiline))
     return reader.schema(raw_read_schema(names)).csv(plist)
