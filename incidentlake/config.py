@@ -38,6 +38,11 @@ class LayerConfig:
     row_group_rows: int = ROW_GROUP_ROWS
     partition_by: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
+    @property
+    def gold_state(self) -> str:
+        """Where the mergeable state behind an incremental Gold lives."""
+        return f"{self.gold.rstrip('/')}_state"
+
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> LayerConfig:
         env = os.environ if env is None else env

@@ -6,7 +6,8 @@ queries over a directory of arriving CSV files: each file is landed once
 where it stopped and never lands a file twice. With ``available_now`` the
 query drains what is there and stops -- a cheap scheduled incremental run.
 Gold needs exact distinct counts, which streaming aggregation does not
-support, so it is refreshed in batch from the stored Silver table.
+support, so it follows in batch: the new Silver rows are folded into a stored
+state (``plans.incremental``), and Silver is not read again.
 
 A streaming sink keeps a log of its files, and readers then see only those. So
 a stream refuses a target that a batch job wrote: land increments in layers of
@@ -15,6 +16,8 @@ their own, or run the batch jobs again over all files, which replace the target.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,10 +25,12 @@ from pyspark.sql.streaming import StreamingQuery
 from incidentlake.config import LayerConfig
 from incidentlake.layers import is_versioned
 from incidentlake.operators.bronze import accepted, land
+from incidentlake.operators.quality import gold_summary
 from incidentlake.operators.silver import to_silver
+from incidentlake.plans.incremental import follow_silver, refresh_gold
 from incidentlake.plans.pipeline import LayerReport, run_gold
 from incidentlake.schemas import CORRUPT_RECORD, INGESTED_AT, RAW_COLUMNS
-from incidentlake.sources import header_columns, path_exists
+from incidentlake.sources import header_columns, path_exists, read_layer
 from incidentlake.sources.csv import csv_options, raw_read_schema
 
 
@@ -87,11 +92,17 @@ def stream_silver(
 def ingest_available(
     spark: SparkSession, cfg: LayerConfig, source_dir: str, checkpoint_root: str
 ) -> LayerReport:
-    """Land every new file through Bronze and Silver, then refresh Gold."""
+    """Land every new file through Bronze and Silver, then fold the new Silver
+    rows into Gold's state and finish Gold from it."""
+    t0 = time.perf_counter()
     root = checkpoint_root.rstrip("/")
     q = stream_bronze(spark, source_dir, cfg.bronze, f"{root}/bronze",
                       multiline=cfg.multiline_csv)
     q.awaitTermination()
     q = stream_silver(spark, cfg.bronze, cfg.silver, f"{root}/silver")
     q.awaitTermination()
-    return run_gold(spark, cfg)
+    if follow_silver(spark, cfg) is None:
+        return run_gold(spark, cfg)
+    refresh_gold(spark, cfg)
+    summary = gold_summary(read_layer(spark, cfg.gold)).first().asDict()
+    return LayerReport("gold", cfg.gold, int(summary.pop("total_rows")), time.perf_counter() - t0, summary)
