@@ -11,7 +11,7 @@ below. Two ways to sum:
 * ``LIMB_SUMS`` for large tables: group by the window as well (a handful per group
   in practice, ``WINDOWS`` at most) and sum the six limbs of ``limbs``, plain long
   sums that hold for 2^42 rows. ``carried`` turns the six sums into three digits,
-  and ``window_sums`` adds the digits of a group's windows up.
+  and ``digits_of`` adds up those of a group's windows.
   ``mean_by`` does both steps.
 * ``exact_sum`` as one aggregate expression for a ``groupBy`` with keys, a decimal
   sum per window: simple, but several times slower.
@@ -90,34 +90,48 @@ def carried(sums: Sequence[Column]) -> tuple[Column, Column, Column]:
     return join(digits[:3]), join(digits[3:]), carry
 
 
-def window_sums(window: Column, low: Column, high: Column, top: Column) -> list[Column]:
-    """Aggregates over rows of one window each, no two of a group alike: the sum
-    of the digits that fall into each window, from the lowest."""
-    pick = lambda w: F.when(window == w, high).when(window == w + 1, low).when(window == w - 1, top)
-    return [F.coalesce(F.sum(pick(w)), F.lit(0)).cast("bigint") for w in range(WINDOWS + 1)]
+def merged_windows() -> Column:
+    """Aggregate over ``with_digits``, a row per window: the group's windows, of
+    which there are ``WINDOWS`` at most."""
+    row = F.struct(WINDOW, "low", "high", "top")
+    return F.collect_list(F.when(F.col(WINDOW).isNotNull(), row))
+
+
+def _placed(window: Column, digit: Column) -> Column:
+    return F.struct(window.cast("int").alias("window"), digit.alias("digit"))
+
+
+def digits_of(windows: Column) -> Column:
+    """Array of (``window``, ``digit``), from the lowest window that the group has
+    to the highest: the sum of the digits that fall into each. Below
+    2^62 + 2^43, as no two rows are of one window. NULL without windows."""
+    nothing = F.lit(0).cast("bigint")
+    numbers = F.transform(windows, lambda p: p[WINDOW])
+    every = F.sequence(F.greatest(F.array_min(numbers) - 1, F.lit(0)), F.array_max(numbers) + 1)
+    part = lambda p, w: F.when(p[WINDOW] == w, p["high"]).when(p[WINDOW] == w + 1, p["low"]).when(p[WINDOW] == w - 1, p["top"]).otherwise(nothing)
+    return F.transform(every, lambda w: _placed(w, F.aggregate(windows, nothing, lambda acc, p: acc + part(p, w))))
 
 
 def joined(digits: Column) -> Column:
-    """Array of window sums (longs below 2^62, from the lowest) -> double. Carries
-    first, so that the highest digits lead; then halves of digits, highest first,
-    so that rounding comes last."""
+    """Array of (``window``, ``digit``) of neighbouring windows, from the lowest ->
+    double. Carries first, so that the highest digits lead; then halves of digits,
+    highest first, so that rounding comes last."""
     half, long = 31, lambda x: F.lit(x).cast("bigint")
-    begin = F.struct(long(0).alias("carry"), F.array().cast("array<bigint>").alias("out"))
+    none = F.array().cast("array<struct<window: int, digit: bigint>>")
 
-    def step(acc, digit):
-        value = digit + acc["carry"]
+    def step(acc, p):
+        value = p["digit"] + acc["carry"]
         carry = F.shiftright(value + long(1 << (WINDOW_BITS - 1)), WINDOW_BITS)
-        out = F.concat(acc["out"], F.array(value - F.shiftleft(carry, WINDOW_BITS)))
-        return F.struct(carry.alias("carry"), out.alias("out"))
+        rest = _placed(p["window"], value - F.shiftleft(carry, WINDOW_BITS))
+        return F.struct(carry.alias("carry"), F.concat(F.array(rest), acc["out"]).alias("out"))
 
-    def add(total, place):
-        digit, unit = place["digit"], F.pow(F.lit(2.0), (place["window"] * WINDOW_BITS - LOWEST_BIT).cast("double"))
-        upper = F.shiftright(digit, half)
-        return total + upper.cast("double") * unit * F.lit(float(1 << half)) + (digit - F.shiftleft(upper, half)).cast("double") * unit
+    def add(total, p):
+        unit = F.pow(F.lit(2.0), (p["window"] * WINDOW_BITS - LOWEST_BIT).cast("double"))
+        upper = F.shiftright(p["digit"], half)
+        return total + upper.cast("double") * unit * F.lit(float(1 << half)) + (p["digit"] - F.shiftleft(upper, half)).cast("double") * unit
 
-    even = F.aggregate(digits, begin, step, lambda acc: acc["out"])
-    placed = F.filter(F.reverse(F.transform(even, lambda d, w: F.struct(w.alias("window"), d.alias("digit")))), lambda p: p["digit"] != 0)
-    return F.aggregate(placed, F.lit(0.0), add)
+    even = F.aggregate(digits, F.struct(long(0).alias("carry"), none.alias("out")), step, lambda acc: acc["out"])
+    return F.aggregate(F.filter(even, lambda p: p["digit"] != 0), F.lit(0.0), add)
 
 
 def partial_inputs(col: Column, window: Column) -> dict[str, Column]:
@@ -133,14 +147,9 @@ def with_digits(partial: DataFrame) -> DataFrame:
     return partial.select(*others, low.alias("low"), high.alias("high"), top.alias("top"))
 
 
-def merged_windows() -> Column:
-    """Aggregate over ``with_digits``: the array that ``joined`` takes."""
-    return F.array(*window_sums(F.col(WINDOW), F.col("low"), F.col("high"), F.col("top")))
-
-
 def mean_of(windows: Column, values: Column, not_finite: Column) -> Column:
     """The mean from a group's windows, number of values and not-finite sum."""
-    return F.coalesce(not_finite, joined(windows)) / F.nullif(values, F.lit(0))
+    return F.coalesce(not_finite, joined(digits_of(windows))) / F.nullif(values, F.lit(0))
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], column: str, name: str, first: Mapping[str, Column], second: Mapping[str, Column]) -> DataFrame:
@@ -177,6 +186,7 @@ def exact_sum(col: Column) -> Column:
         digit = (value - carry.cast("decimal(19,0)") * base).cast("bigint")
         return F.struct(carry.alias("carry"), F.concat(acc["out"], F.array(digit)).alias("out"))
 
-    digits = F.aggregate(F.array(*whole), begin, step, lambda acc: F.concat(acc["out"], F.array(acc["carry"])))
+    longs = F.aggregate(F.array(*whole), begin, step, lambda acc: F.concat(acc["out"], F.array(acc["carry"])))
+    digits = F.transform(longs, lambda d, w: _placed(w, d))
     odd = F.sum(F.when(~finite(col), col))
     return F.when(F.count(col) > 0, F.coalesce(odd, joined(digits)))

@@ -1,7 +1,8 @@
 """Gold: the incident fact table, one row per attack type x severity x
 protocol x action x network segment (NULL is a group of its own).
 
-Plan (see README for measurements): one scan, two hash exchanges, no join.
+Plan (see README for measurements): one scan, two hash exchanges and a third of
+a few rows a group, no join.
 
 * Each row becomes one row with measures and one for either network
   (``_kind`` 0, 1, 2). They are aggregated together by group, kind, network and
@@ -9,8 +10,8 @@ Plan (see README for measurements): one scan, two hash exchanges, no join.
   row per task, window and network, and a hot group's networks spread over many
   tasks.
 * What is left is one row per group and distinct network, and a few rows of
-  partial measures per group. A second aggregation by group counts the former and
-  merges the latter.
+  partial measures per group. A second aggregation, by group and window, counts
+  the former and merges the latter; a third joins a group's windows.
 
 The rows between the two steps are mergeable: partial measures and distinct
 networks of an increment and of all that came before add up to those of the
@@ -165,13 +166,16 @@ def finish_measures(
 ) -> DataFrame:
     """Partials -> one row per group with the named measures."""
     names, summed = _needed(measures)
-    aggs = [PARTIALS[n].merge(F.col(n)).alias(n) for n in names]
+    counted = [m for m in DISTINCT_MEASURES if m in measures]
+    merge = {n: PARTIALS[n].merge for n in names} | dict.fromkeys(counted, F.sum)
+    kinds = {m: F.count_if(F.col(_KIND) == i).alias(m) for i, m in enumerate(DISTINCT_MEASURES, 1) if m in measures}
+    aggs = [PARTIALS[n].merge(F.col(n)).alias(n) for n in names] + list(kinds.values())
     if summed:
-        partials = with_digits(partials)
-        aggs += [F.sum(VALUES).alias(VALUES), F.sum(NOT_FINITE).alias(NOT_FINITE), merged_windows().alias("windows")]
-    for i, m in enumerate(DISTINCT_MEASURES, 1):
-        if m in measures:
-            aggs.append(F.count_if(F.col(_KIND) == i).alias(m))
+        # the networks are counted beside the windows of the scores, then a few rows a group are left
+        merge |= {VALUES: F.sum, NOT_FINITE: F.sum}
+        by_window = partials.groupBy(*dims, WINDOW).agg(*aggs, *(F.sum(n).alias(n) for n in PARTIAL_SUMS))
+        partials = with_digits(by_window)
+        aggs = [f(F.col(n)).alias(n) for n, f in merge.items()] + [merged_windows().alias("windows")]
     value = lambda m: F.col(m) if m in DISTINCT_MEASURES else MEASURES[m][1]()
     return partials.groupBy(*dims).agg(*aggs).select(*dims, *(value(m).alias(m) for m in measures))
 

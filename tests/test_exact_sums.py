@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from incidentlake.functions import exact_avg, mean_by
-from incidentlake.functions.exact import LIMB_SUMS, carried, exact_sum, joined, limbs, parts, window_of, window_sums
+from incidentlake.functions.exact import LIMB_SUMS, WINDOW, digits_of, exact_sum, joined, limbs, merged_windows, parts, window_of, with_digits
 
 
 def samples():
@@ -49,17 +49,15 @@ def by_limbs(table):
     window = window_of(F.col("v"))
     rows = table.select("k", window.alias("w"), *(c.alias(n) for n, c in zip(LIMB_SUMS, limbs(*parts(F.col("v"), window)), strict=True)))
     first = rows.groupBy("k", "w").agg(*(F.sum(n).alias(n) for n in LIMB_SUMS))
-    low, high, top = carried([F.col(n) for n in LIMB_SUMS])
-    digits = first.select("k", "w", low.alias("low"), high.alias("high"), top.alias("top"))
-    sums = digits.groupBy("k").agg(F.array(*window_sums(F.col("w"), F.col("low"), F.col("high"), F.col("top"))).alias("s"))
-    return sums.select("k", joined(F.col("s")).alias("v"))
+    merged = with_digits(first.withColumnRenamed("w", WINDOW)).groupBy("k").agg(merged_windows().alias("s"))
+    return merged.select("k", joined(digits_of(F.col("s"))).alias("v"))
 
 
 def test_sums_are_exact(table):
     want = expected(samples())
     got = dict(table.groupBy("k").agg(exact_sum(F.col("v"))).collect())
     assert got == want
-    assert dict(by_limbs(table).collect()) == {k: v or 0.0 for k, v in want.items()}
+    assert dict(by_limbs(table).collect()) == want
 
 
 def test_every_partitioning_gives_the_same_bits(spark, table):
