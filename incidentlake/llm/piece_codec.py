@@ -42,13 +42,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from incidentlake.llm._agenda import Agenda
 from incidentlake.llm._ship import ship
 from incidentlake.llm._text import mix
 
 DROPOUT = 0.1
 SEED = "dropout-1"
-CACHE_ENTRIES = 250_000  # segmentations kept by a worker; beyond that it starts anew
-SLICE_WORDS = 1 << 14  # words whose draws are made at once
+CACHE_ENTRIES = 120_000  # segmentations kept by a task; beyond that it starts anew
+SLICE_WORDS = 1 << 16  # words whose draws are made at once
 SHORT = 40  # characters that are merged by a list instead of a heap
 LONG = 48  # candidates; parts with more are segmented anew each time
 BATCH_CHARS = 1 << 20
@@ -85,6 +86,8 @@ class PieceModel:
         if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.rank):
             raise ValueError("a piece spans words; texts cannot be cut at spaces")
         self.neighbours = {a + b for piece in self.rank for a, b in zip(piece, piece[1:], strict=False)}
+        self.near = np.array(sorted(ord(p[0]) << 21 | ord(p[1]) for p in self.neighbours), np.int64)
+        self.agenda = Agenda(self.rank)
         self.mark_bytes = array("i", [self.byte_id[b] for b in SPACE_MARK.encode()]).tobytes()
 
     def parts(self, word: str) -> list[str]:
@@ -92,6 +95,32 @@ class PieceModel:
         cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.neighbours]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
 
+    def parts_of_all(self, words: list[str]) -> list[list[str]]:
+        """``parts`` of every word."""
+        text = "".join(words)
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        first = np.ones(len(code), bool)
+        pair = code[:-1] << 21 | code[1:]
+        at = np.minimum(np.searchsorted(self.near, pair), len(self.near) - 1)
+        first[1:] = self.near[at] != pair
+        begin = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+        first[begin[:-1][begin[:-1] < len(code)]] = True
+        cut = np.flatnonzero(first)
+        every = [text[a:b] for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(text)], strict=True)]
+        row = np.searchsorted(cut, begin).tolist()
+        return [every[a:b] for a, b in zip(row[:-1], row[1:], strict=True)]
+
+    def segment_all(self, parts: list[str], masks: list[int]) -> tuple[list[bytes], list[int]]:
+        """``segment`` of every part; bit k of its mask skips the candidate k.
+        Those with characters that are in no piece, and long ones, are done one
+        by one."""
+        long = [k for k, p in enumerate(parts) if len(p) > SHORT or masks[k] >> 64]
+        one = dict.fromkeys(long, "")
+        ids, taken = self.agenda.segment([one.get(k, p) for k, p in enumerate(parts)] if long else parts, [0 if k in one else m for k, m in enumerate(masks)] if long else masks)
+        for k in chain(long, [k for k, t in enumerate(taken) if t < 0]):
+            ids[k], taken[k] = self.segment(parts[k], {d for d in range(masks[k].bit_length()) if masks[k] >> d & 1})
+        return ids, taken
+
     def segment(self, word: str, skipped: Container[int] = ()) -> tuple[bytes, int]:
         """Piece ids of one word (space marks included), as 32-bit integers, if
         the candidates with the numbers ``skipped`` are; and how many were taken."""
@@ -188,6 +217,7 @@ class Segmentations:
         self.children: dict[int, int] = {}
         self.part: list[str] = [SPACE_MARK]  # the node 0 is the literal space mark
         self.skips: list[tuple[int, ...]] = [()]
+        self.masks: list[int] = [0]
         self.ids: list[bytes] = [self.model.mark_bytes]
         self.left = array("i", [0])  # candidates taken after the last skip
         self.chars = 0
@@ -195,34 +225,44 @@ class Segmentations:
     def full(self) -> bool:
         return len(self.ids) + len(self.words) > self.limit or self.chars > 32 * self.limit
 
-    def _add(self, part: str, skips: tuple[int, ...]) -> int:
-        ids, taken = self.model.segment(part, skips)
-        self.part.append(part)
-        self.skips.append(skips)
-        self.ids.append(ids)
-        self.left.append(taken - (skips[-1] + 1 if skips else 0))
-        return len(self.ids) - 1
+    def _add(self, parts: list[str], skips: list[tuple[int, ...]], masks: list[int]) -> range:
+        """New nodes, one for each part with its skips."""
+        first = len(self.ids)
+        ids, taken = self.model.segment_all(parts, masks)
+        self.part += parts
+        self.skips += skips
+        self.masks += masks
+        self.ids += ids
+        self.left.extend([t - (s[-1] + 1 if s else 0) for t, s in zip(taken, skips, strict=True)])
+        return range(first, len(self.ids))
+
+    def learn(self, words: list[str | tuple[str]]) -> None:
+        """Roots of the parts of words without their one leading space mark, or
+        of units as they are, given as tuples."""
+        if not words:
+            return
+        units = [SPACE_MARK + w if isinstance(w, str) else w[0] for w in words]
+        parts = self.model.parts_of_all(units)
+        new = list(dict.fromkeys(p for row in parts for p in row if p not in self.roots))
+        self.roots.update(zip(new, self._add(new, [()] * len(new), [0] * len(new)), strict=True))
+        self.words.update((w, tuple([self.roots[p] for p in row])) for w, row in zip(words, parts, strict=True))
+        self.chars += sum(map(len, units)) + sum(map(len, new))
 
     def of_word(self, word: str | tuple[str]) -> tuple[int, ...]:
-        """Roots of the parts of a word without its one leading space mark, or of
-        a unit as it is, given as a tuple."""
-        found = self.words.get(word)
-        if found is None:
-            parts = self.model.parts(SPACE_MARK + word if isinstance(word, str) else word[0])
-            for part in parts:
-                if part not in self.roots:
-                    self.roots[part] = self._add(part, ())
-                    self.chars += len(part)
-            found = self.words[word] = tuple([self.roots[part] for part in parts])
-            self.chars += len(word) if isinstance(word, str) else len(word[0])
-        return found
-
-    def skip(self, node: int, number: int) -> int:
-        key = node << 32 | number
-        child = self.children.get(key)
-        if child is None:
-            child = self.children[key] = self._add(self.part[node], (*self.skips[node], number))
-        return child
+        """Roots of the parts of one word."""
+        if word not in self.words:
+            self.learn([word])
+        return self.words[word]
+
+    def skip(self, nodes: list[int], numbers: list[int]) -> list[int]:
+        """The nodes below these that skip these candidates as well."""
+        keys = [n << 32 | d for n, d in zip(nodes, numbers, strict=True)]
+        new = [k for k in dict.fromkeys(keys) if k not in self.children]
+        above, last = [k >> 32 for k in new], [k & 0xFFFFFFFF for k in new]
+        skips = [(*self.skips[n], d) for n, d in zip(above, last, strict=True)]
+        masks = [self.masks[n] | 1 << d for n, d in zip(above, last, strict=True)]
+        self.children.update(zip(new, self._add([self.part[n] for n in above], skips, masks), strict=True))
+        return [self.children[k] for k in keys]
 
     def resolve(self, roots: np.ndarray, keys: np.ndarray, below: int) -> tuple[np.ndarray, dict[int, bytes]]:
         """The node that each occurrence's draws lead to, and the ids of long
@@ -245,7 +285,7 @@ class Segmentations:
             hit = np.flatnonzero(draws(keys[open_][owner], number) < below)
             which, at = np.unique(owner[hit], return_index=True)
             open_, first = open_[which], number[hit[at]]
-            node[open_] = [self.skip(n, d) for n, d in zip(node[open_].tolist(), first.tolist(), strict=True)]
+            node[open_] = self.skip(node[open_].tolist(), first.tolist())
             after = first + 1
         return node, long
 
@@ -281,42 +321,51 @@ class Encoder:
 
     def encode_many(self, texts: list[str | None], keys: list[str], copies: list[int]) -> list[bytes | None]:
         out: list = [None if t is None else [] for t in texts]
-        nodes: list[int] = []
-        runs: list[tuple] = []  # row, key, place of its first part, parts
+        place = [0] * len(texts)  # parts before
+        waiting: list[tuple[int, np.uint64, list]] = []  # row, key, words
 
         def flush() -> None:
-            roots = np.array(nodes, np.int64)
-            seeds = np.repeat(np.array([r[1] for r in runs], _U), [r[3] for r in runs])
-            places = np.concatenate([np.arange(p, p + n) for _, _, p, n in runs]).astype(_U)
-            found, long = self.kept.resolve(roots, mix(seeds + (places + _U(1)) * _PLACE), self.below)
+            known = self.kept.words
+            new = [w for w in dict.fromkeys(chain.from_iterable(x[2] for x in waiting)) if w not in known]
+            if new:
+                self.kept.learn([w for w in new if w is not None])
+                known[None] = (0,)
+            nodes: list[int] = []
+            sizes = []
+            for _, _, words in waiting:
+                before = len(nodes)
+                nodes.extend(chain.from_iterable(map(known.__getitem__, words)))
+                sizes.append(len(nodes) - before)
+            rows = [x[0] for x in waiting]
+            first = []
+            for row, n in zip(rows, sizes, strict=True):
+                first.append(place[row])
+                place[row] += n
+            seeds = np.repeat(np.array([x[1] for x in waiting], _U), sizes)
+            places = np.concatenate([np.arange(p, p + n) for p, n in zip(first, sizes, strict=True)]).astype(_U)
+            found, long = self.kept.resolve(np.array(nodes, np.int64), mix(seeds + (places + _U(1)) * _PLACE), self.below)
             ids = list(map(self.kept.ids.__getitem__, found.tolist()))
             for k, x in long.items():
                 ids[k] = x
             at = 0
-            for row, _, _, n in runs:
+            for row, n in zip(rows, sizes, strict=True):
                 out[row].append(b"".join(ids[at : at + n]))
                 at += n
-            nodes.clear()
-            runs.clear()
+            waiting.clear()
             if self.kept.full():
                 self.kept.clear()
 
+        held = 0
         for row, text in enumerate(texts):
-            words, place, key = self.words(text or ""), 0, self.document_key(keys[row], copies[row])
+            words, key = self.words(text or ""), self.document_key(keys[row], copies[row])
             for a in range(0, len(words), SLICE_WORDS):
-                known, before = self.kept.words, len(nodes)
                 part = words[a : a + SLICE_WORDS]
-                for w in set(part).difference(known):
-                    if w is None:
-                        known[w] = (0,)
-                    else:
-                        self.kept.of_word(w)
-                nodes.extend(chain.from_iterable(map(known.__getitem__, part)))
-                runs.append((row, key, place, len(nodes) - before))
-                place += len(nodes) - before
-                if len(nodes) >= SLICE_WORDS:
+                waiting.append((row, key, part))
+                held += len(part)
+                if held >= SLICE_WORDS:
                     flush()
-        if runs:
+                    held = 0
+        if waiting:
             flush()
         return [None if x is None else b"".join(x) for x in out]
 
@@ -377,6 +426,7 @@ def encode(docs: DataFrame, model: str, rate: float = DROPOUT, seed: str = SEED,
                     same = [None if t is None else encoder.decode(np.frombuffer(ids, np.int32).tolist()) == t for t, ids in zip(texts, parts, strict=True)]
                     made.append(pa.array(same, pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*(done.column(x) for x in names), *made], names=[*names, *new])
+        encoder.kept.clear()  # the worker may serve another stage next
 
     added = [T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("lossless", T.BooleanType())][: len(new)]
     return rows.mapInArrow(run, T.StructType([*(f for f in rows.schema if f.name in names), *added]))

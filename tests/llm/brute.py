@@ -114,6 +114,21 @@ def line_dedup(rows, mean_lines=3):
     return out
 
 
+def chunk_lines(rows, mean_lines=3):
+    """``rows``: (id, text); gives the numbers of the lines in removed chunks, by id."""
+    at, cut, out = {}, {}, {}
+    for i, t in rows:
+        cut[i], start = [], 0
+        for c in line_chunks(t, mean_lines):
+            if sum(bool(WORD.search(x)) for x in c) >= 2:
+                cut[i].append(("\n".join(c), start, len(c)))
+                at.setdefault("\n".join(c), set()).add((i, start))
+            start += len(c)
+    for i, chunks in cut.items():
+        out[i] = {k for body, a, n in chunks if min(at[body]) != (i, a) for k in range(a, a + n)}
+    return out
+
+
 def mix(rows, weights=(5, 2, 1), budget=1.5, repeat=2, seed="mix-1"):
     """``rows``: (id, source, size); gives taken words per row, in order."""
     totals = Counter()

@@ -4,7 +4,10 @@ from collections import Counter
 
 import corpus_pipeline
 
+from incidentlake.llm.line_dedup import PASSAGE_WORDS
+
 from tests.llm import brute
+from tests.llm.test_line_passages import repeated_lines, worded
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,9 +27,14 @@ def test_stages(spark, scratch):
         if name == "language_id":
             assert [r.doc_id for r in before if r.doc_id not in {x.doc_id for x in after}] == [9001, 9002, 9003]
         if name == "line_dedup":
-            want = brute.line_dedup([(r.doc_id, r.text) for r in before])
-            want = [(r.doc_id, t) for r, (t, n) in zip(before, want, strict=True) if not n or brute.WORD.search(t)]
-            assert [(r.doc_id, r.text) for r in after] == want
+            gone = brute.chunk_lines([(r.doc_id, r.text) for r in before])
+            for i, lines in repeated_lines({r.doc_id: r.text for r in before}, PASSAGE_WORDS).items():
+                gone[i] |= lines
+            left = {r.doc_id: [x for k, x, _ in worded(r.text) if k not in gone[r.doc_id]] for r in before}
+            assert any(len(gone[r.doc_id]) for r in before)
+            want = [(r.doc_id, left[r.doc_id]) for r in before if left[r.doc_id] or not gone[r.doc_id]]
+            assert [(r.doc_id, [x for _, x, _ in worded(r.text)]) for r in after] == want
+            assert all(r.text == b.text for b in before if not gone[b.doc_id] for r in after if r.doc_id == b.doc_id)
             assert all(r.n_chars == len(r.text) for r in after)
         if name == "ngram_join":
             part = brute.jaccard_groups({r.doc_id: r.text for r in before})
