@@ -37,6 +37,11 @@ class LayerConfig:
     columns_from_header: bool = True
     row_group_rows: int = ROW_GROUP_ROWS
     partition_by: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    # Columns by which a layer's rows are sorted within each file, for pruned
+    # reads, e.g. {"silver": ("attack_type", "severity_level")}; and columns with
+    # Bloom filters, e.g. {"silver": ("source_ip_masked",)}.
+    cluster_by: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    bloom_columns: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
     @property
     def gold_state(self) -> str:

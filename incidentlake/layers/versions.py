@@ -144,6 +144,9 @@ def commit_layer(
     check: Callable[[DataFrame, Manifest], None] | None = None,
     notes: Mapping | None = None,
     options: Mapping[str, str] | None = None,
+    cluster_by: Sequence[str] = (),
+    cluster_partitions: int | None = None,
+    bloom_columns: Sequence[str] = (),
     keep: int = KEEP,
     after: Callable[[str], None] = lambda step: None,
 ) -> Manifest:
@@ -154,12 +157,25 @@ def commit_layer(
     ``check`` sees the stored rows and may raise, which leaves the layer as it
     was. ``options`` go to the Parquet writer. ``after`` is called after each of
     ``STEPS``.
+
+    ``cluster_by`` sorts the rows of each task by these columns, so that a file's
+    row groups have narrow ranges and a filter on the columns skips most of them;
+    no shuffle. With ``cluster_partitions`` rows are first dealt to so many tasks
+    by ranges of the columns (a shuffle), and whole files are skipped as well.
+    ``bloom_columns`` get Bloom filters, for look-ups of values among many.
     """
     spark = df.sparkSession
     path = path.rstrip("/")
     files = Files(spark, path)
     version = f"{VERSION}{datetime.now(UTC).strftime(_TIME)}-{uuid.uuid4().hex}"
+    schema = df.schema
+    if cluster_by:
+        order = [f"`{c}`" for c in (*partition_by, *cluster_by)]
+        dealt = df if cluster_partitions is None else df.repartitionByRange(cluster_partitions, *order)
+        df = dealt.sortWithinPartitions(*order)
     writer = df.write.mode("errorifexists").option("compression", compression)
+    for column in bloom_columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if rows_per_group:
         writer = writer.option("parquet.block.row.count.limit", str(rows_per_group))
     for key, value in (options or {}).items():
@@ -169,9 +185,9 @@ def commit_layer(
     try:
         writer.parquet(f"{path}/{version}")
         after("data")
-        counts = footer_counts(spark, f"{path}/{version}", counted, df.schema)
+        counts = footer_counts(spark, f"{path}/{version}", counted, schema)
         after("counted")
-        manifest = Manifest(0, version, counts.rows, counts.not_null, df.schema.jsonValue(), dict(notes or {}))
+        manifest = Manifest(0, version, counts.rows, counts.not_null, schema.jsonValue(), dict(notes or {}))
         if check:
             check(read_version(spark, path, manifest), manifest)
         after("checked")

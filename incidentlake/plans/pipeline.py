@@ -33,6 +33,15 @@ log = logging.getLogger(__name__)
 LAYERS: tuple[str, ...] = ("bronze", "silver", "gold")
 
 
+def _layout(cfg: LayerConfig, layer: str) -> dict:
+    """How a layer's rows are laid out in files."""
+    return {
+        "partition_by": cfg.partition_by.get(layer, ()),
+        "cluster_by": cfg.cluster_by.get(layer, ()),
+        "bloom_columns": cfg.bloom_columns.get(layer, ()),
+    }
+
+
 @dataclass(frozen=True)
 class LayerReport:
     layer: str
@@ -60,7 +69,7 @@ def run_bronze(spark: SparkSession, cfg: LayerConfig) -> LayerReport:
         land(raw),
         cfg.bronze,
         rows_per_group=cfg.row_group_rows,
-        partition_by=cfg.partition_by.get("bronze", ()),
+        **_layout(cfg, "bronze"),
         counted=[CORRUPT_RECORD],
         check=None if cfg.multiline_csv else (lambda rows, _: no_cut_values(rows)),
     )
@@ -82,7 +91,7 @@ def run_silver(spark: SparkSession, cfg: LayerConfig, top_k: int = 5) -> LayerRe
         to_silver(read_bronze(spark, cfg.bronze)),
         cfg.silver,
         rows_per_group=cfg.row_group_rows,
-        partition_by=cfg.partition_by.get("silver", ()),
+        **_layout(cfg, "silver"),
         counted=PROFILED,
     )
     prof = {f"null_{c}": stored.rows - n for c, n in stored.not_null.items()}
@@ -98,7 +107,7 @@ def run_gold(spark: SparkSession, cfg: LayerConfig) -> LayerReport:
     """Silver -> Gold fact table, then summarise the stored table."""
     t0 = time.perf_counter()
     commit_layer(to_gold(read_layer(spark, cfg.silver)), cfg.gold,
-                 partition_by=cfg.partition_by.get("gold", ()))
+                 **_layout(cfg, "gold"))
     summary = gold_summary(read_layer(spark, cfg.gold)).first().asDict()
     rows = int(summary.pop("total_rows"))
     report = LayerReport("gold", cfg.gold, rows, time.perf_counter() - t0, summary)
