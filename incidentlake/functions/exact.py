@@ -22,8 +22,10 @@ they sum to, in any order.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import wraps
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,21 @@ PARTIAL_SUMS: tuple[str, ...] = (*LIMB_SUMS, VALUES, NOT_FINITE)
 WINDOW = "window"
 
 
+def _kept(make: Callable) -> Callable:
+    """Keeps what ``make`` gives for some names. A Column never changes, but every
+    function in it costs a call to the JVM when it is built."""
+    known: dict = {}
+
+    @wraps(make)
+    def given(*names: str):
+        key = (id(SparkContext._gateway), names)
+        if key not in known:
+            known[key] = make(*names)
+        return known[key]
+
+    return given
+
+
 def finite(col: Column) -> Column:
     """TRUE for numbers, FALSE for NaN and infinities, NULL for NULL."""
     return F.abs(col) < F.lit(float("inf"))
@@ -90,6 +107,7 @@ def carried(sums: Sequence[Column]) -> tuple[Column, Column, Column]:
     return join(digits[:3]), join(digits[3:]), carry
 
 
+@_kept
 def merged_windows() -> Column:
     """Aggregate over ``with_digits``, a row per window: the group's windows, of
     which there are ``WINDOWS`` at most."""
@@ -134,37 +152,50 @@ def joined(digits: Column) -> Column:
     return F.aggregate(F.filter(even, lambda p: p["digit"] != 0), F.lit(0.0), add)
 
 
-def partial_inputs(col: Column, window: Column) -> dict[str, Column]:
-    """What is summed per group and window, by the names of ``PARTIAL_SUMS``."""
-    cut = dict(zip(LIMB_SUMS, limbs(*parts(col, window)), strict=True))
+@_kept
+def window_column(column: str) -> Column:
+    return window_of(F.col(column))
+
+
+@_kept
+def partial_inputs(column: str) -> dict[str, Column]:
+    """What is summed per group and window, by the names of ``PARTIAL_SUMS``; the
+    window is in the column ``WINDOW``."""
+    col = F.col(column)
+    cut = dict(zip(LIMB_SUMS, limbs(*parts(col, F.col(WINDOW))), strict=True))
     return {**cut, VALUES: col.isNotNull().cast("bigint"), NOT_FINITE: F.when(~finite(col), col)}
 
 
+@_kept
+def _digit_columns() -> list[Column]:
+    return [c.alias(n) for c, n in zip(carried([F.col(n) for n in LIMB_SUMS]), ("low", "high", "top"), strict=True)]
+
+
 def with_digits(partial: DataFrame) -> DataFrame:
     """Partial sums with the digits of their limbs (``low``, ``high``, ``top``)."""
-    low, high, top = carried([F.col(n) for n in LIMB_SUMS])
-    others = [c for c in partial.columns if c not in LIMB_SUMS]
-    return partial.select(*others, low.alias("low"), high.alias("high"), top.alias("top"))
+    return partial.select(*(c for c in partial.columns if c not in LIMB_SUMS), *_digit_columns())
 
 
-def mean_of(windows: Column, values: Column, not_finite: Column) -> Column:
-    """The mean from a group's windows, number of values and not-finite sum."""
-    return F.coalesce(not_finite, joined(digits_of(windows))) / F.nullif(values, F.lit(0))
+@_kept
+def mean_of(windows: str, values: str, not_finite: str) -> Column:
+    """The mean from the columns with a group's windows, number of values and
+    sum of values that are not finite."""
+    total = F.coalesce(F.col(not_finite), joined(digits_of(F.col(windows))))
+    return total / F.nullif(F.col(values), F.lit(0))
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], column: str, name: str, first: Mapping[str, Column], second: Mapping[str, Column]) -> DataFrame:
     """``groupBy(keys)`` with the exact mean of ``column`` as ``name`` and more
     aggregates: ``first`` are taken per (keys, window), ``second`` over those. Two
     small shuffles; the first one carries a row per group and task."""
-    inputs = partial_inputs(F.col(column), F.col(WINDOW))
-    rows = df.withColumn(WINDOW, window_of(F.col(column))).withColumns(inputs)
+    rows = df.withColumn(WINDOW, window_column(column)).withColumns(partial_inputs(column))
     sums = [F.sum(n).alias(n) for n in PARTIAL_SUMS]
     partial = with_digits(rows.groupBy(*keys, WINDOW).agg(*sums, *(c.alias(n) for n, c in first.items())))
     merged = partial.groupBy(*keys).agg(
         merged_windows().alias("windows"), F.sum(VALUES).alias(VALUES), F.sum(NOT_FINITE).alias(NOT_FINITE),
         *(c.alias(n) for n, c in second.items()),
     )
-    return merged.select(*keys, *second, mean_of(F.col("windows"), F.col(VALUES), F.col(NOT_FINITE)).alias(name))
+    return merged.select(*keys, *second, mean_of("windows", VALUES, NOT_FINITE).alias(name))
 
 
 def exact_sum(col: Column) -> Column:

@@ -36,7 +36,7 @@ from incidentlake.functions.exact import (
     mean_of,
     merged_windows,
     partial_inputs,
-    window_of,
+    window_column,
     with_digits,
 )
 from incidentlake.schemas import (
@@ -97,7 +97,7 @@ PARTIALS: dict[str, Partial] = {
 # Measures: the partials that they need, and the value from the merged ones.
 MEASURES: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
     "total_incidents": (("incidents",), lambda: F.col("incidents")),
-    "avg_anomaly_score": (PARTIAL_SUMS, lambda: sql_round(mean_of(F.col("windows"), F.col(VALUES), F.col(NOT_FINITE)), 4)),
+    "avg_anomaly_score": (PARTIAL_SUMS, lambda: sql_round(mean_of("windows", VALUES, NOT_FINITE), 4)),
     "max_anomaly_score": (("max_score",), lambda: sql_round("max_score", 4)),
     "avg_packet_length": (
         ("packets", "packet_sum"),
@@ -135,9 +135,8 @@ def partial_measures(
     """Partial measures per group (``_kind`` 0; several rows where the scores
     have several windows) and a row per group and distinct network."""
     names, summed = _needed(measures)
-    score = F.col("anomaly_score")
     none, no_window = F.lit(None).cast("string"), F.lit(None).cast("int")
-    kinds = [F.struct(F.lit(0).alias(_KIND), none.alias(_VALUE), (window_of(score) if summed else no_window).alias(WINDOW))]
+    kinds = [F.struct(F.lit(0).alias(_KIND), none.alias(_VALUE), (window_column("anomaly_score") if summed else no_window).alias(WINDOW))]
     for i, counted in enumerate(DISTINCT_MEASURES.values(), 1):
         if any(DISTINCT_MEASURES.get(m) == counted for m in measures):
             kinds.append(F.struct(F.lit(i).alias(_KIND), F.col(counted).alias(_VALUE), no_window.alias(WINDOW)))
@@ -147,7 +146,7 @@ def partial_measures(
     rows = rows.where(own | F.col(_VALUE).isNotNull())
     aggs = [PARTIALS[n].first(F.when(own, F.col(PARTIALS[n].column))).alias(n) for n in names]
     if summed:
-        aggs += [F.sum(F.when(own, c)).alias(n) for n, c in partial_inputs(score, F.col(WINDOW)).items()]
+        aggs += [F.sum(F.when(own, c)).alias(n) for n, c in partial_inputs("anomaly_score").items()]
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("rows")]
     return rows.groupBy(*dims, _KIND, _VALUE, WINDOW).agg(*aggs)
