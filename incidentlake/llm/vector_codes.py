@@ -20,7 +20,7 @@ by the parameters) go through the driver and to every task.
 
 Defined results: rows without vector, with null or non-finite components, or
 with components so large that squared distances do not fit 64 bits (beyond about
-2^28 for 64 components, in integers) are left out, as are rows whose vector has
+1.9e8 for 64 components, in integers) are left out, as are rows whose vector has
 not the commonest length (ties: the longer) among multiples of the number of
 parts. Rows may repeat an id; the first entries are the rows of smallest id,
 then of smallest vector (null ids last). Fewer rows than entries give smaller
