@@ -66,7 +66,7 @@ def _classes() -> np.ndarray:
 
 _DIGIT, _ODD = 1, 3
 _CLASS = _classes()
-_PLAIN = re.compile(rb"(?:[a-z]|[\xc3-\xc9][\x80-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+_PLAIN = re.compile(rb"(?:[a-z]|(?!\xc3\x97|\xc3\xb7|\xc4\xb0)[\xc3-\xc9][\x80-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 
 
 class WordIds:

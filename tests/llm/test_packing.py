@@ -7,23 +7,28 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from incidentlake.llm import queries
-from incidentlake.llm.packing import Grouping, pack, sequences, token_pieces
+from incidentlake.llm.packing import Grouping, WordIds, _cut, pack, sequences, token_pieces
 
 WORDS = str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+LIBRARY = Tokenizer.from_file(WORDS)
+
+
 def library_ids(text):
-    return [*Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids, 0]
+    return [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def texts():
     rng = random.Random(2)
     letters = "abcdeXYZ 's't 0123.,!?-_é́ßΣσÅ漢字😀 　 \u0085\x0b\x0c\x1c\t\n\r<|>"
     out = [None, "", " ", "\n\x0b", "Hello World's end", "<|endoftext|>", "a<|startoftext|>b c", "ΑΣ ΑΣ. İI", "é ́x", "don't DON'T 've x've"]
+    out += ["Èonai,ÉAI.x ×a÷b aİb <|END|> <| ab<|cd É́ ɏa ɐB 12ab34 a\x7fb ʰa ʱ", "mañana,Straße!ÀÉ x'S y’s a_b--c ... <|endoftext|>,x 3.14% #tag"]
     out += ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 60))) for _ in range(150)]
     return [*out, "word " * 5000, "x" * 9000, out[4], out[4]]
 
@@ -51,6 +56,18 @@ def test_pieces_are_slices_of_the_librarys_ids(spark, docs):
     assert token_pieces(docs.limit(0), WORDS).count() == 0
 
 
+def test_ids_of_random_characters():
+    """All of Latin, with signs between letters, white space of all kinds and others."""
+    rng = random.Random(77)
+    chars = [chr(c) for c in [*range(1, 0x280), 0x300, 0x301, 0x3A3, 0x2019, 0x4E00, 0x1F600, 0x2028, 0x3000]]
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randrange(1, 80))) for _ in range(2000)]
+    words, got = WordIds(WORDS), []
+    for k in range(0, len(texts), 500):
+        for pieces in _cut(pa.array(texts[k : k + 500]), words, 64, 0):
+            got.append([x for p in pieces.as_py() for x in np.frombuffer(p["ids"], "<u4").tolist()])
+    assert got == [library_ids(t) for t in texts]
+
+
 def check_packing(rows, capacity):
     bins = defaultdict(list)
     for r in rows:
