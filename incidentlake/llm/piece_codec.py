@@ -11,11 +11,11 @@ rate of 0 the result is the model's own encoding.
 No piece goes on after a space mark that follows other characters, so a word
 with the spaces before it is segmented by itself. Nor can a merge join two
 characters that are neighbours in no piece of the model (a letter and a comma,
-mostly), so words are cut there too. What is kept, in a bounded tree per Python
+mostly), so words are cut there too. What is kept, in bounded arrays per Python
 worker, does not depend on the draws: a part's segmentation for each set of
 skipped candidates met so far, and how many candidates it takes from the agenda.
-Draws are made for many words at once; an occurrence follows its skips down the
-tree. Characters outside the vocabulary become byte pieces. Decoding joins the
+Draws are made for many words at once, and each set of skips is segmented at
+once, many sets together. Characters outside the vocabulary become byte pieces. Decoding joins the
 pieces' bytes and drops the one leading space that encoding put in front; it
 gives back every text exactly. A literal space mark (U+2581) in a text is encoded
 as its three bytes, since it could not be told from a space otherwise.
@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Container, Iterator
+from collections.abc import Callable, Container, Iterable, Iterator
 from hashlib import blake2b
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from incidentlake.llm._agenda import Agenda
+from incidentlake.llm._agenda import Agenda, Pairs, ranges
 from incidentlake.llm._ship import ship
 from incidentlake.llm._text import mix
 
@@ -50,6 +50,7 @@ DROPOUT = 0.1
 SEED = "dropout-1"
 CACHE_ENTRIES = 120_000  # segmentations kept by a task; beyond that it starts anew
 SLICE_WORDS = 1 << 16  # words whose draws are made at once
+SLICE_PIECES = 1 << 18  # pieces that are decoded at once
 SHORT = 40  # characters that are merged by a list instead of a heap
 LONG = 48  # candidates; parts with more are segmented anew each time
 BATCH_CHARS = 1 << 20
@@ -85,43 +86,50 @@ class PieceModel:
         self.level = {piece: rank for piece, (rank, _) in self.rank.items()}
         if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.rank):
             raise ValueError("a piece spans words; texts cannot be cut at spaces")
-        self.neighbours = {a + b for piece in self.rank for a, b in zip(piece, piece[1:], strict=False)}
-        self.near = np.array(sorted(ord(p[0]) << 21 | ord(p[1]) for p in self.neighbours), np.int64)
         self.agenda = Agenda(self.rank)
-        self.mark_bytes = array("i", [self.byte_id[b] for b in SPACE_MARK.encode()]).tobytes()
-
-    def parts(self, word: str) -> list[str]:
-        """``word`` cut between characters that no merge can join."""
-        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.neighbours]
-        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
-
-    def parts_of_all(self, words: list[str]) -> list[list[str]]:
-        """``parts`` of every word."""
+        symbol = self.agenda.symbol
+        near = sorted({(symbol[a], symbol[b]) for piece in self.rank for a, b in zip(piece, piece[1:], strict=False)})
+        self.neighbours = Pairs(*np.array(near, np.int32).reshape(-1, 2).T, len(symbol))
+        self.mark_ids = [self.byte_id[b] for b in SPACE_MARK.encode()]
+        self.output_bytes = np.frombuffer(b"".join(self.output), np.uint8)
+        self.output_size = np.fromiter(map(len, self.output), np.int64, len(self.output))
+        self.output_start = np.cumsum(self.output_size) - self.output_size
+
+    def parts_of_all(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The words cut between characters that no merge can join, and how many
+        parts each has."""
         text = "".join(words)
-        code = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
-        first = np.ones(len(code), bool)
-        pair = code[:-1] << 21 | code[1:]
-        at = np.minimum(np.searchsorted(self.near, pair), len(self.near) - 1)
-        first[1:] = self.near[at] != pair
-        begin = np.concatenate([[0], np.cumsum([len(w) for w in words])])
-        first[begin[:-1][begin[:-1] < len(code)]] = True
-        cut = np.flatnonzero(first)
-        every = [text[a:b] for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(text)], strict=True)]
-        row = np.searchsorted(cut, begin).tolist()
-        return [every[a:b] for a, b in zip(row[:-1], row[1:], strict=True)]
-
-    def segment_all(self, parts: list[str], masks: list[int]) -> tuple[list[bytes], list[int]]:
-        """``segment`` of every part; bit k of its mask skips the candidate k.
-        Those with characters that are in no piece, and long ones, are done one
-        by one."""
-        long = [k for k, p in enumerate(parts) if len(p) > SHORT or masks[k] >> 64]
-        one = dict.fromkeys(long, "")
-        ids, taken = self.agenda.segment([one.get(k, p) for k, p in enumerate(parts)] if long else parts, [0 if k in one else m for k, m in enumerate(masks)] if long else masks)
-        for k in chain(long, [k for k, t in enumerate(taken) if t < 0]):
-            ids[k], taken[k] = self.segment(parts[k], {d for d in range(masks[k].bit_length()) if masks[k] >> d & 1})
-        return ids, taken
-
-    def segment(self, word: str, skipped: Container[int] = ()) -> tuple[bytes, int]:
+        symbol = self.agenda.char[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        first = np.ones(len(symbol), bool)
+        first[1:] = self.neighbours.find(symbol[:-1], symbol[1:]) == self.neighbours.none
+        begin = np.cumsum([0, *map(len, words)])
+        first[begin[:-1][begin[:-1] < len(symbol)]] = True
+        cut = np.append(np.flatnonzero(first), len(symbol))
+        at = cut.tolist()
+        return [text[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], np.diff(np.searchsorted(cut, begin))
+
+    def segment_all(self, code: np.ndarray, start: np.ndarray, size: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``Agenda.segment``; parts with characters that are in no piece, and long
+        ones, are done one by one."""
+        ids, at, count, taken = self.agenda.segment(code, start, np.where(size > SHORT, 0, size), masks)
+        every, before = [ids], len(ids)
+        for k in np.flatnonzero((size > SHORT) | (taken < 0)).tolist():
+            mask = int(masks[k])
+            own, taken[k] = self.segment(code[start[k] : start[k] + size[k]].tobytes().decode("utf-32-le"), {d for d in range(mask.bit_length()) if mask >> d & 1})
+            at[k], count[k] = before, len(own)
+            every.append(np.frombuffer(own, np.int32) if own else ids[:0])
+            before += len(own)
+        return np.concatenate(every), at, count, taken
+
+    def texts(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        """What the pieces of each row stand for, in UTF-8."""
+        size = self.output_size[ids]
+        slices = [slice(a, a + SLICE_PIECES) for a in range(0, len(ids), SLICE_PIECES)]
+        whole = b"".join(self.output_bytes[ranges(self.output_start[ids[x]], size[x])].tobytes() for x in slices)
+        ends = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(sizes))].tolist()
+        return [whole[a + 1 : b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def segment(self, word: str, skipped: Container[int] = ()) -> tuple[array, int]:
         """Piece ids of one word (space marks included), as 32-bit integers, if
         the candidates with the numbers ``skipped`` are; and how many were taken."""
         symbols, taken = self._merge_short(word, skipped) if len(word) <= SHORT else self._merge_long(word, skipped)
@@ -132,7 +140,7 @@ class PieceModel:
                 ids.append(found[1])
             else:
                 ids.extend([self.byte_id[b] for b in s.encode("utf-8")])
-        return ids.tobytes(), taken
+        return ids, taken
 
     def _merge_short(self, word: str, skipped: Container[int]) -> tuple[list[str], int]:
         """The agenda as a list of the neighbours' ranks: quicker for few."""
@@ -203,91 +211,158 @@ def draws(keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return mix(keys + (numbers.astype(_U) + _U(1)) * _CANDIDATE) >> _U(32)
 
 
+def _view(values: array) -> np.ndarray:
+    """``values`` in place; to be dropped before they grow."""
+    return np.frombuffer(values, values.typecode)
+
+
+class _Numbers(dict):
+    """Numbers its keys as they are met, from ``next`` on; ``new`` lists them."""
+
+    def __init__(self):
+        self.next, self.new = 0, []
+
+    def __missing__(self, key) -> int:
+        number = self[key] = self.next
+        self.next += 1
+        self.new.append(key)
+        return number
+
+
+class _OfNode:
+    def __init__(self, function: Callable):
+        self.function = function
+
+    def __getitem__(self, node: int):
+        return self.function(node)
+
+
 class Segmentations:
-    """Tree of the segmentations of parts of words. A root skips nothing; a child
-    skips one more candidate, later than all that its parent skips."""
+    """Segmentations of parts of words. A node is a part and the candidates that
+    it skips; a root skips none."""
 
     def __init__(self, model: PieceModel, limit: int):
         self.model, self.limit = model, limit
+        self.skips = _OfNode(lambda node: tuple([d for d in range(self.masks[node].bit_length()) if self.masks[node] >> d & 1]))
+        self.left = _OfNode(lambda node: self.taken[node] - self.masks[node].bit_length())  # after the last skip
         self.clear()
 
     def clear(self) -> None:
-        self.roots: dict[str, int] = {}
-        self.words: dict[str | tuple[str], tuple[int, ...]] = {}
-        self.children: dict[int, int] = {}
-        self.part: list[str] = [SPACE_MARK]  # the node 0 is the literal space mark
-        self.skips: list[tuple[int, ...]] = [()]
-        self.masks: list[int] = [0]
-        self.ids: list[bytes] = [self.model.mark_bytes]
-        self.left = array("i", [0])  # candidates taken after the last skip
-        self.chars = 0
+        self.words, self.roots, self.nodes = _Numbers(), _Numbers(), _Numbers()
+        self.first, self.parts = array("q", [0]), array("i")  # the roots of a word are parts[first[k] : first[k + 1]]
+        self.code = array("i")  # code points of the roots
+        self.start, self.size = array("q"), array("i")  # of the node's part in ``code``
+        self.ids = array("i")
+        self.at, self.count = array("q"), array("i")  # of the node's pieces in ``ids``
+        self.taken = array("i")  # candidates
+        self.masks = array("Q")  # of the candidates skipped
+        # the word None and the node 0 are the literal space mark
+        self.words[None], self.words.next = 0, 1
+        self.first.append(1)
+        self.parts.append(self._one(self.model.mark_ids))
 
     def full(self) -> bool:
-        return len(self.ids) + len(self.words) > self.limit or self.chars > 32 * self.limit
-
-    def _add(self, parts: list[str], skips: list[tuple[int, ...]], masks: list[int]) -> range:
-        """New nodes, one for each part with its skips."""
-        first = len(self.ids)
-        ids, taken = self.model.segment_all(parts, masks)
-        self.part += parts
-        self.skips += skips
-        self.masks += masks
-        self.ids += ids
-        self.left.extend([t - (s[-1] + 1 if s else 0) for t, s in zip(taken, skips, strict=True)])
-        return range(first, len(self.ids))
-
-    def learn(self, words: list[str | tuple[str]]) -> None:
-        """Roots of the parts of words without their one leading space mark, or
-        of units as they are, given as tuples."""
+        return len(self.taken) + len(self.words) > self.limit or len(self.code) + len(self.ids) > 32 * self.limit
+
+    def _one(self, ids: Iterable[int]) -> int:
+        """A node of its own with these pieces."""
+        self.at.append(len(self.ids))
+        self.ids.extend(ids)
+        self.count.append(len(self.ids) - self.at[-1])
+        for x in (self.start, self.size, self.taken, self.masks):
+            x.append(0)
+        return len(self.taken) - 1
+
+    def _add(self, start: np.ndarray, size: np.ndarray, masks: np.ndarray) -> None:
+        """New nodes, one for each of these parts of ``code`` with its skips."""
+        ids, at, count, taken = self.model.segment_all(_view(self.code), start, size, masks)
+        at += len(self.ids)
+        masks &= (_U(1) << np.minimum(taken, 63).astype(_U)) - _U(1) | np.where(taken > 63, ~_U(0), _U(0))
+        for kept, new in ((self.start, start), (self.size, size), (self.masks, masks), (self.ids, ids), (self.at, at), (self.count, count), (self.taken, taken)):
+            kept.frombytes(new.astype(kept.typecode).tobytes())
+
+    def learn(self) -> None:
+        """Roots of the parts of new words without their one leading space mark,
+        or of units as they are, given as tuples."""
+        words, self.words.new = self.words.new, []
         if not words:
             return
-        units = [SPACE_MARK + w if isinstance(w, str) else w[0] for w in words]
-        parts = self.model.parts_of_all(units)
-        new = list(dict.fromkeys(p for row in parts for p in row if p not in self.roots))
-        self.roots.update(zip(new, self._add(new, [()] * len(new), [0] * len(new)), strict=True))
-        self.words.update((w, tuple([self.roots[p] for p in row])) for w, row in zip(words, parts, strict=True))
-        self.chars += sum(map(len, units)) + sum(map(len, new))
+        parts, counts = self.model.parts_of_all([SPACE_MARK + w if isinstance(w, str) else w[0] for w in words])
+        self.first.frombytes((self.first[-1] + np.cumsum(counts)).tobytes())
+        self.roots.next = len(self.taken)
+        self.parts.extend(map(self.roots.__getitem__, parts))
+        new, self.roots.new = self.roots.new, []
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        start = len(self.code) + np.cumsum(size) - size
+        self.code.frombytes("".join(new).encode("utf-32-le"))
+        if new:
+            self._add(start, size, np.zeros(len(new), _U))
 
     def of_word(self, word: str | tuple[str]) -> tuple[int, ...]:
         """Roots of the parts of one word."""
-        if word not in self.words:
-            self.learn([word])
-        return self.words[word]
-
-    def skip(self, nodes: list[int], numbers: list[int]) -> list[int]:
-        """The nodes below these that skip these candidates as well."""
-        keys = [n << 32 | d for n, d in zip(nodes, numbers, strict=True)]
-        new = [k for k in dict.fromkeys(keys) if k not in self.children]
-        above, last = [k >> 32 for k in new], [k & 0xFFFFFFFF for k in new]
-        skips = [(*self.skips[n], d) for n, d in zip(above, last, strict=True)]
-        masks = [self.masks[n] | 1 << d for n, d in zip(above, last, strict=True)]
-        self.children.update(zip(new, self._add([self.part[n] for n in above], skips, masks), strict=True))
-        return [self.children[k] for k in keys]
-
-    def resolve(self, roots: np.ndarray, keys: np.ndarray, below: int) -> tuple[np.ndarray, dict[int, bytes]]:
-        """The node that each occurrence's draws lead to, and the ids of long
-        parts by their place in ``roots``."""
-        node, long = roots.copy(), {}
-        open_ = np.arange(len(roots)) if below else roots[:0]
-        after = np.zeros(len(open_), np.int64)
-        if below:
-            for k in np.flatnonzero(np.frombuffer(self.left, np.int32)[roots] > LONG).tolist():
-                part = self.part[roots[k]]  # less than three candidates a character
-                skipped = np.flatnonzero(draws(keys[k], np.arange(3 * len(part))) < below)
-                long[k] = self.model.segment(part, set(skipped.tolist()))[0]
-            if long:
-                open_ = np.setdiff1d(open_, np.fromiter(long, np.int64))
-                after = after[: len(open_)]
+        number = self.words[word]
+        self.learn()
+        return tuple(self.parts[self.first[number] : self.first[number + 1]])
+
+    def of_words(self, words: Iterable[str | tuple[str] | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Roots of the parts of all words, and how many each has."""
+        number = np.fromiter(map(self.words.__getitem__, words), np.int64)
+        self.learn()
+        first = _view(self.first)
+        size = first[number + 1] - first[number]
+        return _view(self.parts)[ranges(first[number], size)], size
+
+    def pieces(self, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces of all nodes, and how many each has."""
+        count = _view(self.count)[node]
+        return _view(self.ids)[ranges(_view(self.at)[node], count)], count
+
+    def skip(self, roots: np.ndarray, masks: np.ndarray) -> np.ndarray:
+        """The nodes of these roots that skip these candidates."""
+        order = np.lexsort((masks, roots))
+        root, mask = roots[order], masks[order]
+        first = np.append(True, (root[1:] != root[:-1]) | (mask[1:] != mask[:-1]))
+        self.nodes.next = len(self.taken)
+        found = [self.nodes[r << 64 | m] for r, m in zip(root[first].tolist(), mask[first].tolist(), strict=True)]
+        new, self.nodes.new = self.nodes.new, []
+        if new:
+            above = np.array([k >> 64 for k in new])
+            self._add(_view(self.start)[above], _view(self.size)[above], np.array([k & 0xFFFFFFFFFFFFFFFF for k in new], _U))
+        out = np.empty(len(roots), np.int64)
+        out[order] = np.array(found)[np.cumsum(first) - 1]
+        return out
+
+    def _anew(self, root: int, key: np.uint64, below: int) -> int:
+        """A node for one occurrence of a part with many candidates."""
+        start, size = self.start[root], self.size[root]
+        skipped = np.flatnonzero(draws(key, np.arange(3 * size)) < below)  # less than three candidates a character
+        return self._one(self.model.segment(self.code[start : start + size].tobytes().decode("utf-32-le"), set(skipped.tolist()))[0])
+
+    def resolve(self, roots: np.ndarray, keys: np.ndarray, below: int) -> tuple[np.ndarray, int]:
+        """The node that each occurrence's draws lead to, and how many occurrences
+        were segmented anew. The candidates that a root takes are drawn; if the
+        skips make it take more, those are drawn too, and so on."""
+        node, taken, anew = roots.copy(), _view(self.taken)[roots], 0
+        open_ = np.flatnonzero(taken) if below else roots[:0]
+        mask, drawn, taken = np.zeros(len(open_), _U), np.zeros(len(open_), np.int64), taken[open_]
+        most = LONG
         while len(open_):
-            left = np.frombuffer(self.left, np.int32)[node[open_]].astype(np.int64)
-            owner = np.repeat(np.arange(len(open_)), left)
-            number = np.arange(len(owner)) - (np.cumsum(left) - left - after)[owner]
-            hit = np.flatnonzero(draws(keys[open_][owner], number) < below)
-            which, at = np.unique(owner[hit], return_index=True)
-            open_, first = open_[which], number[hit[at]]
-            node[open_] = self.skip(node[open_].tolist(), first.tolist())
-            after = first + 1
-        return node, long
+            far = taken > most
+            for k in open_[far].tolist():
+                node[k] = self._anew(int(roots[k]), keys[k], below)
+                anew += 1
+            going = (taken > drawn) & ~far
+            open_, mask, drawn, taken = open_[going], mask[going], drawn[going], taken[going]
+            size = taken - drawn
+            number = ranges(drawn, size)
+            hit = np.flatnonzero(draws(np.repeat(keys[open_], size), number) < below)
+            which, at = np.unique(np.searchsorted(np.cumsum(size), hit, side="right"), return_index=True)
+            open_, drawn = open_[which], taken[which]
+            if len(open_):
+                mask = mask[which] | np.bitwise_or.reduceat(_U(1) << number[hit].astype(_U), at)
+                node[open_] = self.skip(roots[open_], mask)
+            taken, most = _view(self.taken)[node[open_]], 64
+        return node, anew
 
 
 class Encoder:
@@ -319,38 +394,28 @@ class Encoder:
             lead = ""
         return out
 
-    def encode_many(self, texts: list[str | None], keys: list[str], copies: list[int]) -> list[bytes | None]:
-        out: list = [None if t is None else [] for t in texts]
+    def encode_all(self, texts: list[str | None], keys: list[str], copies: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces of all texts, and how many each has."""
+        ids, total = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
         place = [0] * len(texts)  # parts before
         waiting: list[tuple[int, np.uint64, list]] = []  # row, key, words
 
         def flush() -> None:
-            known = self.kept.words
-            new = [w for w in dict.fromkeys(chain.from_iterable(x[2] for x in waiting)) if w not in known]
-            if new:
-                self.kept.learn([w for w in new if w is not None])
-                known[None] = (0,)
-            nodes: list[int] = []
-            sizes = []
-            for _, _, words in waiting:
-                before = len(nodes)
-                nodes.extend(chain.from_iterable(map(known.__getitem__, words)))
-                sizes.append(len(nodes) - before)
+            nodes, parts = self.kept.of_words(chain.from_iterable(x[2] for x in waiting))
+            ends = np.cumsum([0, *(len(x[2]) for x in waiting)])
+            ends = np.append(0, np.cumsum(parts))[ends]
+            sizes = np.diff(ends)
             rows = [x[0] for x in waiting]
             first = []
-            for row, n in zip(rows, sizes, strict=True):
+            for row, n in zip(rows, sizes.tolist(), strict=True):
                 first.append(place[row])
                 place[row] += n
             seeds = np.repeat(np.array([x[1] for x in waiting], _U), sizes)
-            places = np.concatenate([np.arange(p, p + n) for p, n in zip(first, sizes, strict=True)]).astype(_U)
-            found, long = self.kept.resolve(np.array(nodes, np.int64), mix(seeds + (places + _U(1)) * _PLACE), self.below)
-            ids = list(map(self.kept.ids.__getitem__, found.tolist()))
-            for k, x in long.items():
-                ids[k] = x
-            at = 0
-            for row, n in zip(rows, sizes, strict=True):
-                out[row].append(b"".join(ids[at : at + n]))
-                at += n
+            places = ranges(np.array(first), sizes).astype(_U)
+            found, _ = self.kept.resolve(nodes.astype(np.int64), mix(seeds + (places + _U(1)) * _PLACE), self.below)
+            made, count = self.kept.pieces(found)
+            ids.append(made)
+            np.add.at(total, rows, np.diff(np.append(0, np.cumsum(count))[ends]))
             waiting.clear()
             if self.kept.full():
                 self.kept.clear()
@@ -367,7 +432,12 @@ class Encoder:
                     held = 0
         if waiting:
             flush()
-        return [None if x is None else b"".join(x) for x in out]
+        return np.concatenate(ids), total
+
+    def encode_many(self, texts: list[str | None], keys: list[str], copies: list[int]) -> list[bytes | None]:
+        ids, sizes = self.encode_all(texts, keys, copies)
+        ends = np.cumsum(sizes).tolist()
+        return [None if t is None else ids[a:b].tobytes() for t, a, b in zip(texts, [0, *ends], ends, strict=False)]
 
     def encode(self, text: str, key: str = "", copy: int = 0) -> bytes:
         return self.encode_many([text], [key], [copy])[0]
@@ -388,13 +458,10 @@ def _encoder(path: str, rate: float, seed: str) -> Encoder:
     return _encoders[key]
 
 
-def _lists(parts: list[bytes | None]) -> pa.Array:
-    """An Arrow list column from rows of 32-bit integers; None is null."""
-    sizes = [0 if p is None else len(p) // 4 for p in parts]
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    values = pa.array(np.frombuffer(b"".join(p for p in parts if p), np.int32))
-    mask = pa.array([p is None for p in parts])
-    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=mask)
+def _lists(ids: np.ndarray, sizes: np.ndarray, texts: list[str | None]) -> pa.Array:
+    """An Arrow list column from the ids of all rows; null for a null text."""
+    offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(ids), mask=pa.array([t is None for t in texts]))
 
 
 def encode(docs: DataFrame, model: str, rate: float = DROPOUT, seed: str = SEED, text: str = "text", key: str = "doc_id", copy: str | None = None, keep_text: bool = False, check: bool = False) -> DataFrame:
@@ -420,10 +487,10 @@ def encode(docs: DataFrame, model: str, rate: float = DROPOUT, seed: str = SEED,
                 done = batch.slice(start, end - start)
                 start = end
                 texts = done.column("__text").to_pylist()
-                parts = encoder.encode_many(texts, done.column("__key").to_pylist(), done.column("__copy").to_pylist())
-                made = [_lists(parts)]
+                ids, counts = encoder.encode_all(texts, done.column("__key").to_pylist(), done.column("__copy").to_pylist())
+                made = [_lists(ids, counts, texts)]
                 if check:
-                    same = [None if t is None else encoder.decode(np.frombuffer(ids, np.int32).tolist()) == t for t, ids in zip(texts, parts, strict=True)]
+                    same = [None if t is None else t.encode("utf-8") == x for t, x in zip(texts, encoder.model.texts(ids, counts), strict=True)]
                     made.append(pa.array(same, pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*(done.column(x) for x in names), *made], names=[*names, *new])
         encoder.kept.clear()  # the worker may serve another stage next
