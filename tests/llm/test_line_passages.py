@@ -1,8 +1,11 @@
 """Repeated passages of ``min_words`` words against brute force."""
 
 import random
+import time
 
-from incidentlake.llm.line_dedup import drop_repeated_lines
+from pyspark.sql import functions as F
+
+from incidentlake.llm.line_dedup import _WORD, _count_words, _has_word, drop_repeated_lines
 
 from tests.llm import brute
 
@@ -85,3 +88,31 @@ def test_query_removes_passages(spark, scratch):
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{scratch}/documents.parquet")
     got = {r.doc_id: (r.text, r.n_lines, r.n_removed_lines) for r in queries.op9_line_dedup(spark, scratch).collect()}
     assert got == {1: (rows[0][1], 4, 0), 2: ("c\nd", 4, 2), 3: (None, 0, 0), 4: ("", 1, 0)}
+
+
+def test_words_of_a_line(spark):
+    """Every kind of white space, alone and mixed, and characters that only look like it."""
+    rng = random.Random(23)
+    parts = [" ", "  ", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u2028", "\x00", "a", "bc", "\xfc", "\U0001f600"]
+    lines = ["", " ", "   ", "\t", "\r", *parts, *("".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(600))]
+    lines += ["".join(rng.choices([" ", "a", "b", "\xa0"], k=rng.randint(1, 12))) for _ in range(200)]
+    got = spark.createDataFrame([(x,) for x in lines], "x string").select("x", _count_words(F.col("x")), _has_word(F.col("x"))).collect()
+    assert len(got) == len(lines)
+    for x, n, worded in got:
+        assert (n, worded) == (len(brute.WORD.findall(x)), bool(brute.WORD.search(x))), repr(x)
+
+
+def test_looking_for_a_word_ends_at_the_first(spark):
+    """Far less work than a pass over the whole line."""
+    lines = spark.range(400).select(F.concat(F.col("id").cast("string"), F.expr("repeat(' some words', 20000)")).alias("x")).repartition(4).cache()
+    lines.count()
+
+    def least(c):
+        took = []
+        for _ in range(4):
+            began = time.perf_counter()
+            lines.select(F.sum(c.cast("int"))).collect()
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    assert 2 * least(_has_word(F.col("x"))) < least(F.regexp_count("x", F.lit(_WORD)))
