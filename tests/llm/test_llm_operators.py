@@ -349,7 +349,7 @@ def test_every_query_runs(spark):
 
     sf = "/root/testdata/sf0.001"
     found = queries.queries()
-    assert sorted(int(k[2:].split("_")[0]) for k in found) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in found) == list(range(1, 14))
     n = {t: spark.read.parquet(f"{sf}/{t}.parquet").count() for t in ("documents", "embeddings")}
     for name in ("op1", "op2", "op5", "op7", "op8", "op9", "op10"):
         full = next(k for k in found if k.startswith(name + "_"))
