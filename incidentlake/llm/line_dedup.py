@@ -143,8 +143,8 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
         placed.select("__id", "__text", "at", "end", "hash").join(repeated, "hash").where(~F.col("at").eqNullSafe(F.col("first")))
         .groupBy("__id", "__text").agg(F.collect_set(F.struct(F.col("at.place").alias("start"), "end")).alias("__gone"))
     )
-    keyed = docs.withColumn("__all", F.split(F.col(text), "\n"))
-    joined = keyed.join(gone, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__text")), "left")
+    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__text")), "left")
+    joined = joined.withColumn("__all", F.split(F.col(text), "\n"))  # not before the join, whose shuffle would hold each text twice
     out = F.array_distinct(F.flatten(F.transform("__gone", lambda g: F.sequence(g["start"], g["end"]))))
     stay = F.array_except(F.sequence(F.lit(0), F.size("__all") - 1), out)
     joined = joined.withColumn("__kept", F.when(F.col("__gone").isNull(), F.col("__all")).otherwise(F.transform(stay, lambda i: F.get("__all", i))))

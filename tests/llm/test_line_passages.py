@@ -90,6 +90,39 @@ def test_query_removes_passages(spark, scratch):
     assert got == {1: (rows[0][1], 4, 0), 2: ("c\nd", 4, 2), 3: (None, 0, 0), 4: ("", 1, 0)}
 
 
+def shuffled_bytes(df):
+    """What each shuffle of the plan moved, before compression."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "Exchange":
+            found.append(node.metrics().apply("dataSize").value())
+        if name.startswith("AdaptiveSparkPlan"):
+            walk(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            walk(node.plan())
+        else:
+            for i in range(node.children().size()):
+                walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_texts_meet_their_removals_by_one_copy(spark):
+    """The shuffle of the documents holds each text once, not its lines beside it."""
+    rng = random.Random(24)
+    line = lambda: " ".join(f"w{rng.randrange(10**9)}" for _ in range(8))
+    passage = "\n".join(line() for _ in range(8))
+    texts = {i: "\n".join([*(line() for _ in range(40)), passage][:: rng.choice([1, -1])]) for i in range(200)}
+    out = drop_repeated_lines(spark.createDataFrame(list(texts.items()), SCHEMA).repartition(3).localCheckpoint(), min_words=50)
+    size = sum(map(len, texts.values()))
+    assert size < max(shuffled_bytes(out)) < 1.2 * size
+    assert {r.doc_id: r.n_removed_lines for r in out.collect()} == {i: 8 * (i > 0) for i in texts}
+
+
 def test_words_of_a_line(spark):
     """Every kind of white space, alone and mixed, and characters that only look like it."""
     rng = random.Random(23)
