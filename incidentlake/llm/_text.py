@@ -13,7 +13,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+# A slice's arrays take some two hundred times its bytes where n-grams are scored,
+# in every Python worker beside a heap that may be full.
+CHUNK_BYTES = 1 << 18
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 1

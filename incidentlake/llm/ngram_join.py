@@ -43,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -228,9 +228,10 @@ def _candidates(texts: DataFrame, width: int, threshold: tuple[int, int]) -> Dat
     rows = _map_documents(texts, [("tag", T.LongType(), pa.int64()), ("keys", *_LONGS)], _blocks(threshold), width)
     flat = rows.select("doc_id", "tag", F.explode("keys").alias("key"))
     shared = flat.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    held = flat.join(shared, "key").groupBy("doc_id", "tag").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("held"))
-    spare = F.shiftright("tag", 6).cast("int")
-    return held.where(F.size("held") > spare).select("doc_id", F.explode(F.slice("held", F.lit(1), F.size("held") - spare)).alias("x")).select("doc_id", "x.key")
+    # rows that Spark sorts and spills; lists of a document's blocks would be objects on the heap
+    mine = Window.partitionBy("doc_id", "tag")
+    held = flat.join(shared, "key").withColumns({"rank": F.row_number().over(mine.orderBy("n", "key")), "held": F.count("*").over(mine)})
+    return held.where(F.col("rank") <= F.col("held") - F.shiftright("tag", 6)).select("doc_id", "key")
 
 
 def _open_blocks(held: DataFrame, part: DataFrame) -> DataFrame:
@@ -295,7 +296,10 @@ def linked_sets(docs: DataFrame, sets: DataFrame, width: int, threshold: tuple[i
     chosen = stored(possible(docs, sets, width, threshold), "possible")
     if chosen.count() <= BROADCAST_IDS:  # ids only; beyond that the join shuffles
         chosen = F.broadcast(chosen)
-    texts = stored(docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    # dealt once to as many files as the session's shuffles have partitions, so that the
+    # tasks that count the blocks' keys stay small; the duplicates meet in the same place
+    dealt = docs.join(chosen, "doc_id", "left_semi").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+    texts = stored(dealt.dropDuplicates(["doc_id"]), "texts")
     facts = stored(_map_documents(texts, [("n", T.LongType(), pa.int64()), ("sketch", *_LONGS)], _sketch, width), "sketches")
     held = stored(_candidates(texts, width, threshold), "blocks")
 
